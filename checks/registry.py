@@ -24,18 +24,17 @@ def check(name: str, sql: str | None = None):
     return add
 
 
-def round_half_up(x: Column, digits: int) -> Column:
+def round_half_up(column: str, digits: int) -> Column:
     """Binary rounding, halves away from zero: the same double in both engines.
 
     ``F.round`` goes through the decimal text of a double, so 2223.31375 would round up
     here and down there.
     """
-    scale = F.lit(float(10**digits))
-    return F.signum(x) * F.floor(F.abs(x) * scale + 0.5) / scale
+    return F.expr(f"signum({column}) * floor(abs({column}) * {10**digits}D + 0.5D) / {10**digits}D")
 
 
 def rounded(df: DataFrame, **digits: int) -> DataFrame:
-    return df.withColumns({c: round_half_up(F.col(c), n) for c, n in digits.items()})
+    return df.withColumns({c: round_half_up(c, n) for c, n in digits.items()})
 
 
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
@@ -46,33 +45,29 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
 CUT = "2001-07-01"
 
 
-def region_code(key: Column) -> Column:
-    return F.lpad(key.cast("string"), 5, "0")
-
-
 def all_trades(spark: SparkSession, sf: str) -> DataFrame:
     """Trades read off the order lines: a supplier is a complex, its nation the region."""
-    lines = table(spark, sf, "lineitem").where(F.col("l_shipdate") < F.lit(CUT).cast("timestamp_ntz"))
-    complexes = table(spark, sf, "supplier").select("s_suppkey", "s_name", "s_nationkey")
-    return lines.join(complexes, F.col("l_suppkey") == F.col("s_suppkey")).select(
-        region_code(F.col("s_nationkey")).alias("sggcd"),
-        F.col("l_suppkey").cast("string").alias("aptseq"),
-        F.col("s_name").alias("aptnm"),
-        F.col("l_suppkey").alias("complexNo"),
-        F.col("l_linenumber").alias("areaNo"),
-        F.col("l_shipdate").cast("date").alias("date"),
-        F.col("l_shipdate").cast("date").alias("deal_date"),
-        F.trunc(F.col("l_shipdate").cast("date"), "month").alias("deal_month_date"),
-        F.col("l_extendedprice").alias("deal_amount"),
-        F.col("l_extendedprice").alias("dealPrice"),
-        F.col("l_quantity").alias("area"),
-        (F.col("l_extendedprice") / F.col("l_quantity")).alias("ppsqm_krw"),
-        F.floor(F.col("l_quantity") / 10).cast("string").alias("bucket"),
-        F.col("l_returnflag").alias("flag"),
-        F.col("l_orderkey").alias("orderkey"),
-        F.col("l_partkey").alias("partkey"),
-        F.col("l_discount").alias("discount"),
-        F.col("l_tax").alias("tax"),
+    lines = table(spark, sf, "lineitem").where(f"l_shipdate < timestamp_ntz'{CUT} 00:00:00'")
+    complexes = table(spark, sf, "supplier").selectExpr("s_suppkey", "s_name", "lpad(cast(s_nationkey AS string), 5, '0') AS sggcd")
+    return lines.join(complexes, F.expr("l_suppkey = s_suppkey")).selectExpr(
+        "sggcd",
+        "cast(l_suppkey AS string) AS aptseq",
+        "s_name AS aptnm",
+        "l_suppkey AS complexNo",
+        "l_linenumber AS areaNo",
+        "cast(l_shipdate AS date) AS date",
+        "cast(l_shipdate AS date) AS deal_date",
+        "trunc(cast(l_shipdate AS date), 'month') AS deal_month_date",
+        "l_extendedprice AS deal_amount",
+        "l_extendedprice AS dealPrice",
+        "l_quantity AS area",
+        "l_extendedprice / l_quantity AS ppsqm_krw",
+        "cast(floor(l_quantity / 10) AS string) AS bucket",
+        "l_returnflag AS flag",
+        "l_orderkey AS orderkey",
+        "l_partkey AS partkey",
+        "l_discount AS discount",
+        "l_tax AS tax",
     )
 
 
@@ -83,17 +78,17 @@ def trades(spark: SparkSession, sf: str) -> DataFrame:
 
 def names(spark: SparkSession, sf: str) -> DataFrame:
     """Region names; the last regions have none, so their code stands in."""
-    nation = table(spark, sf, "nation").where(F.col("n_nationkey") < 20)
-    return nation.select(region_code(F.col("n_nationkey")).alias("sggcd"), F.col("n_name").alias("region_ko"))
+    nation = table(spark, sf, "nation").where("n_nationkey < 20")
+    return nation.selectExpr("lpad(cast(n_nationkey AS string), 5, '0') AS sggcd", "n_name AS region_ko")
 
 
 def complexes(spark: SparkSession, sf: str) -> DataFrame:
     """The complex dimension with made-up coordinates."""
-    return table(spark, sf, "supplier").select(
-        F.col("s_suppkey").alias("complexNo"),
-        F.col("s_name").alias("complexName"),
-        (37 + F.col("s_suppkey") % 100 / 1000).alias("latitude"),
-        (127 + F.col("s_suppkey") % 77 / 1000).alias("longitude"),
+    return table(spark, sf, "supplier").selectExpr(
+        "s_suppkey AS complexNo",
+        "s_name AS complexName",
+        "37 + s_suppkey % 100 / 1000 AS latitude",
+        "127 + s_suppkey % 77 / 1000 AS longitude",
     )
 
 

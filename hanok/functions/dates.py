@@ -17,10 +17,8 @@ def month_code(c: Column) -> Column:
 
 def month_from_code(code: Column) -> Column:
     """First day of a ``YYYYMM`` month; NULL where the text is no such month."""
-    return F.when(
-        code.rlike(r"^[0-9]{4}(0[1-9]|1[0-2])$"),
-        F.try_make_date(F.substring(code, 1, 4).try_cast("int"), F.substring(code, 5, 2).try_cast("int"), F.lit(1)),
-    )
+    text = F.concat_ws("-", F.substring(code, 1, 4), F.substring(code, 5, 2), F.lit("01"))
+    return F.when(code.rlike(r"^[0-9]{4}(0[1-9]|1[0-2])$"), text.try_cast("date"))
 
 
 def months_between_codes(start: Column, end: Column) -> Column:
@@ -45,16 +43,22 @@ def collection_window(window: Column, day: Column) -> Column:
     return F.struct(start.alias("start_ym"), end.alias("end_ym"))
 
 
-def padded_date(year: Column, month: Column, day: Column) -> Column:
-    """Timestamp from loose year, month and day numbers; NULL where they form no date."""
+def loose_date(year: Column, month: Column, day: Column) -> Column:
+    """Date from year, month and day numbers; NULL where they form none."""
     text = F.concat_ws(
         "-",
         F.lpad(year.cast("string"), 4, "0"),
         F.lpad(month.cast("string"), 2, "0"),
         F.lpad(day.cast("string"), 2, "0"),
     )
-    # concat_ws skips NULLs, which would turn a missing day into a shorter text.
-    return F.when(year.isNotNull() & month.isNotNull() & day.isNotNull(), text.try_cast("timestamp"))
+    # Padding cuts longer numbers, so their range is checked first.
+    plausible = year.between(1, 9999) & month.between(1, 12) & day.between(1, 31)
+    return F.when(plausible, text.try_cast("date"))
+
+
+def padded_date(year: Column, month: Column, day: Column) -> Column:
+    """Midnight of ``loose_date``."""
+    return loose_date(year, month, day).cast("timestamp")
 
 
 def frame_end(month: Column, end: Column) -> Column:

@@ -106,11 +106,12 @@ def grade_colour(grade: Column) -> Column:
 
 def grouped_number(x: Column) -> Column:
     """Whole number with thousands commas, halves to even."""
-    return F.format_number(F.bround(x, 0), 0)
+    return F.format_string("%,.0f", F.rint(x))
 
 
 def one_decimal(x: Column) -> Column:
-    return F.format_string("%.1f", F.bround(x, 1))
+    """One decimal, halves to even; a small negative number stays ``-0.0``."""
+    return F.format_string("%.1f", F.rint(x * 10) / 10)
 
 
 def price_tooltip(name: Column, area: Column, price: Column, rate: Column, amount: Column) -> Column:

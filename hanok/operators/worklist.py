@@ -22,11 +22,13 @@ def ranked_codes(codes: DataFrame, code: str = "lawd_cd") -> DataFrame:
 
 def keyspace(codes: DataFrame, last_day: Column, months: int = 120, newest_first: bool = True) -> DataFrame:
     """Every (code, month) slot with its linear index; months are the slow axis."""
-    listed = dates.last_months(last_day, months)
+    # A column, because ``last_day`` may be a scalar subquery, which no lambda can hold.
+    listed = dates.last_months(F.col("_last_day"), months)
     ordered = F.reverse(listed) if newest_first else listed
     return (
         ranked_codes(codes)
-        .select("*", F.posexplode(ordered).alias("ym_idx", "deal_ym"))
+        .withColumn("_last_day", last_day)
+        .select("lawd_cd", "lawd_idx", "n_codes", F.posexplode(ordered).alias("ym_idx", "deal_ym"))
         .withColumn("slot_idx", F.col("ym_idx") * F.col("n_codes") + F.col("lawd_idx"))
         .withColumn("total_slots", F.col("n_codes") * F.lit(months))
     )

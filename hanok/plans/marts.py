@@ -44,7 +44,7 @@ def trades_from_raw(raw: DataFrame) -> DataFrame:
         text.blank_to_null(F.col("aptNm")).alias("aptnm"),
         text.blank_to_null(F.col("aptDong")).alias("aptdong"),
         text.blank_to_null(F.col("jibun")).alias("jibun"),
-        F.try_make_date(*[text.lenient_long(F.col(c)).cast("int") for c in ("dealYear", "dealMonth", "dealDay")]).alias("deal_date"),
+        dates.loose_date(*[text.lenient_long(F.col(c)) for c in ("dealYear", "dealMonth", "dealDay")]).alias("deal_date"),
         amount.alias("deal_amount"),
         area.alias("area"),
         text.lenient_long(F.col("floor")).alias("floor"),

@@ -130,15 +130,17 @@ def map_centre(changes: DataFrame) -> DataFrame:
     return changes.agg(F.avg("latitude").alias("latitude"), F.avg("longitude").alias("longitude"))
 
 
-def month_frames(start: Column, end: Column) -> Column:
-    """(month, last day) of every first-of-month in the period; the last frame ends with the period."""
-    # The first frame is the first month that starts inside the period.
+def frame_bounds(start: Column, end: Column) -> tuple[Column, Column]:
+    """First and last month that start inside the period; NULL where none does."""
     first = F.when(F.dayofmonth(start) == 1, start).otherwise(F.add_months(F.trunc(start, "month"), 1))
-    months = F.sequence(first, F.trunc(end, "month"), F.expr("interval 1 month"))
-    return F.when(
-        first <= end,
-        F.transform(months, lambda m: F.struct(m.alias("frame_month"), dates.frame_end(m, end).alias("frame_end"))),
-    )
+    return F.when(first <= end, first), F.when(first <= end, F.trunc(end, "month"))
+
+
+def month_frames(start: Column, end: Column) -> Column:
+    """(month, last day) of every month that starts in the period; the last frame ends with the period."""
+    first, last = frame_bounds(start, end)
+    months = F.sequence(first, last, F.expr("interval 1 month"))
+    return F.transform(months, lambda m: F.struct(m.alias("frame_month"), dates.frame_end(m, end).alias("frame_end")))
 
 
 def price_change_frames(trades: DataFrame, complexes: DataFrame, start: Column, end: Column) -> DataFrame:
@@ -148,9 +150,8 @@ def price_change_frames(trades: DataFrame, complexes: DataFrame, start: Column,
     that of the newest month up to it. So trades shrink to one row per unit type
     and month, gaps are filled forward, and no trade is repeated per frame.
     """
-    frames = F.transform(month_frames(start, end), lambda f: f.getField("frame_month"))
+    first_frame, last_frame = frame_bounds(start, end)
     # Trades before the first frame's month count from the first frame on.
-    first_frame = F.element_at(frames, 1)
     month = F.greatest(F.trunc("date", "month"), first_frame)
     monthly = (
         daily_extremes(in_period(trades, start, end).where(first_frame.isNotNull()))
@@ -171,7 +172,7 @@ def price_change_frames(trades: DataFrame, complexes: DataFrame, start: Column,
             F.col("frame_month"),
             F.greatest(
                 F.col("frame_month"),
-                F.coalesce(F.add_months(F.lead("frame_month").over(line), -1), F.element_at(frames, -1)),
+                F.coalesce(F.add_months(F.lead("frame_month").over(line), -1), last_frame),
             ),
             F.expr("interval 1 month"),
         ).alias("_months"),

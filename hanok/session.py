@@ -20,6 +20,13 @@ RUNTIME_SETTINGS = {
     "spark.sql.parquet.outputTimestampType": "TIMESTAMP_MILLIS",
 }
 
+# Settings a session can only be started with.
+START_SETTINGS = {
+    "spark.ui.enabled": "false",
+    # Every column call would otherwise send its call site to the JVM; plans here are long.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
+}
+
 
 def configure(spark: SparkSession) -> SparkSession:
     """Apply the runtime settings to a session somebody else started."""
@@ -30,10 +37,10 @@ def configure(spark: SparkSession) -> SparkSession:
 
 def build_session(app: str, master: str | None = None, **extra: str) -> SparkSession:
     """Start (or reuse) a session; ``extra`` takes further settings with ``_`` for ``.``."""
-    builder = SparkSession.builder.appName(app).config("spark.ui.enabled", "false")
+    builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
-    for key, value in RUNTIME_SETTINGS.items():
+    for key, value in {**START_SETTINGS, **RUNTIME_SETTINGS}.items():
         builder = builder.config(key, value)
     for key, value in extra.items():
         builder = builder.config(key.replace("_", "."), value)

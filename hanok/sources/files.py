@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from hanok.functions.text import try_cast_to
-from hanok.schema import MANIFEST_SCHEMA, MARKER_SCHEMA, STATE_SCHEMA
+from hanok.schema import MANIFEST_SCHEMA, STATE_SCHEMA
 from hanok.sources.bronze import existing
 
 
@@ -69,15 +69,6 @@ def read_manifest(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(MANIFEST_SCHEMA).option("multiLine", True).json(path)
 
 
-def read_markers(spark: SparkSession, bronze: str) -> DataFrame:
-    """All completion markers below the landing zone."""
-    return (
-        spark.read.schema(MARKER_SCHEMA).option("multiLine", True)
-        .option("recursiveFileLookup", True).option("pathGlobFilter", "_SUCCESS.json")
-        .json(bronze)
-    )
-
-
 def read_state(spark: SparkSession, path: str) -> DataFrame:
     """The crawl state with its defaults: version 2 for a new state, 1 for an old file without one."""
     if not existing(spark, [path]):

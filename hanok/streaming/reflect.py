@@ -36,14 +36,13 @@ def reflect_new_pages(
     """
     root = bronze_path.rstrip("/")
     arrivals = (
-        spark.readStream.schema("content BINARY, path STRING, length BIGINT, modificationTime TIMESTAMP")
-        .format("binaryFile")
+        spark.readStream.schema("value STRING")
+        .format("text")
         .option("pathGlobFilter", "page=*.csv")
         .option("recursiveFileLookup", True)
         .option("maxFilesPerTrigger", max_files_per_batch)
         .load(root)
-        # The listing is enough: content is not read.
-        .select(F.col("path").alias("_file"))
+        .select(F.col("_metadata.file_path").alias("_file"))
     )
 
     def reflect(batch: DataFrame, _: int) -> None:

@@ -1,0 +1,106 @@
+"""The CSV landing zone: differing headers, byte order mark, leading zeros, empty pages."""
+
+import pytest
+from conftest import rows
+from pyspark.sql import functions as F
+
+from hanok.operators.changes import pages_to_land
+from hanok.schema import RAW_SCHEMA
+from hanok.sources import bronze
+
+
+def page(root, code, ym, no, text, bom=True):
+    folder = root / f"LAWD_CD={code}" / f"DEAL_YM={ym}"
+    folder.mkdir(parents=True, exist_ok=True)
+    (folder / f"page={no}.csv").write_bytes((b"\xef\xbb\xbf" if bom else b"") + text.encode())
+
+
+@pytest.fixture
+def landing(tmp_path):
+    page(tmp_path, "11110", "202401", 1, 'aptNm,dealAmount,floor\nA,"120,000",3\n"B ""x"", y","9,500",4\n')
+    page(tmp_path, "11110", "202401", 2, 'floor,aptNm,dealAmount\n7,C,"80,000"\n')
+    page(tmp_path, "01110", "202402", 1, "aptNm,dealAmount\nD,100\n")
+    page(tmp_path, "01110", "202402", 2, "floor,newField,aptNm\n2,z,E\n", bom=False)
+    page(tmp_path, "22220", "202403", 1, "", bom=False)
+    return tmp_path
+
+
+def test_each_page_is_read_by_its_own_header(spark, landing):
+    df = bronze.scan_all(spark, str(landing))
+    assert df.columns == RAW_SCHEMA.names
+    assert rows(df.select("aptNm", "dealAmount", "floor", "lawdCd", "deal_ym", "year", "month")) == [
+        ("A", "120,000", "3", "11110", "202401", 2024, 1),
+        ('B "x", y', "9,500", "4", "11110", "202401", 2024, 1),
+        ("C", "80,000", "7", "11110", "202401", 2024, 1),
+        ("D", "100", None, "01110", "202402", 2024, 2),
+        ("E", None, "2", "01110", "202402", 2024, 2),
+    ]
+
+
+def test_columns_no_page_has_are_null_text(spark, landing):
+    df = bronze.scan_all(spark, str(landing))
+    assert dict(df.dtypes)["aptDong"] == "string" and df.where("aptDong IS NOT NULL").isEmpty()
+
+
+def test_one_header_needs_no_join(spark, tmp_path):
+    for no in (1, 2):
+        page(tmp_path, "11110", "202401", no, f"aptNm,floor\nN{no},{no}\n")
+    df = bronze.read_pages(spark, f"{tmp_path}/{bronze.PAGE_GLOB}", ["floor", "aptNm"])
+    assert rows(df.select("aptNm", "floor")) == [("N1", "1"), ("N2", "2")]
+    assert "Join" not in df._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_a_split_file_keeps_its_header_once(spark, tmp_path):
+    page(tmp_path, "11110", "202401", 1, "floor,aptNm\n" + "".join(f"{i},name{i}\n" for i in range(5000)))
+    page(tmp_path, "11110", "202401", 2, "aptNm,floor\nlast,9999\n")
+    key = "spark.sql.files.maxPartitionBytes"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "8k")
+    try:
+        df = bronze.read_pages(spark, f"{tmp_path}/{bronze.PAGE_GLOB}", ["aptNm", "floor"])
+        assert df.count() == 5001
+        assert df.where("aptNm = concat('name', floor)").count() == 5000
+    finally:
+        spark.conf.set(key, before)
+
+
+def test_only_listed_partitions_are_read_and_missing_ones_skipped(spark, landing):
+    entries = spark.createDataFrame([("01110", "202402"), ("99999", "202401")], "lawd_cd STRING, deal_ym STRING")
+    assert {r.lawdCd for r in bronze.scan_partitions(spark, str(landing), entries).collect()} == {"01110"}
+    none = entries.where("lawd_cd = '99999'")
+    got = bronze.scan_partitions(spark, str(landing), none)
+    assert got.schema.names == RAW_SCHEMA.names and got.isEmpty()
+
+
+def test_a_long_list_is_joined_instead(spark, landing, monkeypatch):
+    monkeypatch.setattr(bronze, "MAX_LISTED_PATHS", 1)
+    entries = spark.createDataFrame([("01110", "202402"), ("99999", "202401")], "lawd_cd STRING, deal_ym STRING")
+    got = bronze.scan_partitions(spark, str(landing), entries)
+    assert got.columns == RAW_SCHEMA.names and {r.lawdCd for r in got.collect()} == {"01110"}
+
+
+def test_too_many_headers_fail(spark, landing, monkeypatch):
+    monkeypatch.setattr(bronze, "MAX_HEADERS", 2)
+    with pytest.raises(ValueError, match="headers"):
+        bronze.scan_all(spark, str(landing))
+
+
+def test_landed_pages_come_from_the_listing(spark, landing):
+    got = bronze.landed_pages(spark, str(landing)).select("lawd_cd", "deal_ym", "page_no", (F.col("size") > 0).alias("full"))
+    assert rows(got) == [
+        ("01110", "202402", 1, True),
+        ("01110", "202402", 2, True),
+        ("11110", "202401", 1, True),
+        ("11110", "202401", 2, True),
+    ]
+
+
+def test_an_empty_page_is_landed_again(spark, landing):
+    fetched = spark.createDataFrame([("11110", "202401", 1, 5), ("22220", "202403", 1, 5), ("22220", "202403", 2, 0)], "lawd_cd STRING, deal_ym STRING, page_no INT, row_count INT")
+    got = pages_to_land(fetched, bronze.landed_pages(spark, str(landing)))
+    assert rows(got) == [("22220", "202403", 1, 5)]
+
+
+def test_paths_without_keys_give_null(spark):
+    df = spark.createDataFrame([("s3a://x/LAWD_CD=1/DEAL_YM=2024/page=1.csv",)], "_file STRING")
+    assert bronze.path_columns(df).select("lawdCd", "deal_ym", "year", "month").first() == (None, None, None, None)
