@@ -7,10 +7,10 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-# Above this many rows a group is "hot": its values no longer belong in one buffer.
-HOT_ROWS = 2_000_000
+# Above this many rows a group is "hot": one task should not order it alone.
+HOT_ROWS = 5_000_000
 # At most this many hot groups are broadcast; with more, every group takes the split way.
-MAX_HOT_GROUPS = 10_000
+MAX_HOT_GROUPS = 100_000
 # Buckets per unit of ln(value): each covers a ten-thousandth of the value's size.
 BUCKETS_PER_LOG = 10_000
 
@@ -25,37 +25,51 @@ def grouped_median(
 ) -> DataFrame:
     """Median of ``value`` and row count per group; rows without a value are left out.
 
-    Ordinary groups go through the built-in ``median``: one shuffle. Its buffer
-    holds every distinct value of the group, so a first, narrow count job finds
-    the groups above ``hot_rows`` and those alone go through
-    ``split_median``. Both ways are exact.
+    Ordinary groups are ordered by ``ordered_median``: one shuffle. A first, narrow
+    count job, which combines before its shuffle, finds the groups above ``hot_rows``;
+    those alone go through ``split_median``. Both ways are exact.
     """
     narrow = rows.select(*keys, value.cast("double").alias("_v")).where(F.col("_v").isNotNull())
-    plain = lambda part: part.groupBy(*keys).agg(
-        F.median("_v").alias(median_name), F.count(F.lit(1)).alias(count_name)
-    )
-    split = lambda part: split_median(part, keys, "_v", median_name, count_name)
-
+    names = (median_name, count_name)
     hot = narrow.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > hot_rows).select(*keys)
     found = hot.limit(MAX_HOT_GROUPS + 1).collect()
     if not found:
-        return plain(narrow)
+        return ordered_median(narrow, keys, "_v", *names)
     if len(found) > MAX_HOT_GROUPS:
-        return split(narrow)
+        return split_median(narrow, keys, "_v", *names)
     small = F.broadcast(rows.sparkSession.createDataFrame(found, hot.schema).select([F.col(k).alias(f"_h_{k}") for k in keys]))
     same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_h_{k}")) for k in keys])
-    return plain(narrow.join(small, same, "left_anti")).unionByName(split(narrow.join(small, same, "left_semi")))
+    return ordered_median(narrow.join(small, same, "left_anti"), keys, "_v", *names).unionByName(
+        split_median(narrow.join(small, same, "left_semi"), keys, "_v", *names, few_groups=True)
+    )
+
+
+def ordered_median(rows: DataFrame, keys: Sequence[str], value: str, median_name: str, count_name: str) -> DataFrame:
+    """Exact median from each group's order.
+
+    The built-in ``median`` keeps a map of all values per group, and many such maps at
+    once; sorted rows spill instead, and are quicker for many small groups.
+    """
+    group = Window.partitionBy(*keys)
+    ranked = rows.select(
+        *keys, value,
+        F.row_number().over(group.orderBy(value)).alias("_rank"),
+        F.count(F.lit(1)).over(group).alias("_total"),
+    )
+    middle = ranked.where(F.expr("_rank BETWEEN (_total + 1) div 2 AND _total div 2 + 1"))
+    return middle.groupBy(*keys).agg(F.avg(value).alias(median_name), F.max(F.col("_total").cast("long")).alias(count_name))
 
 
 def split_median(
-    rows: DataFrame, keys: Sequence[str], value: str, median_name: str, count_name: str
+    rows: DataFrame, keys: Sequence[str], value: str, median_name: str, count_name: str, few_groups: bool = False
 ) -> DataFrame:
     """Exact median by narrowing down: count per value, then per value bucket, then within one bucket.
 
     Equal values collapse before the first shuffle, and values of one group
     spread over all tasks. A running count over the group's buckets, whose number depends
     on the spread of values and not on the rows, finds the one or two that hold the middle ranks; only
-    their values are ordered.
+    their values are ordered. ``few_groups`` says that the groups were counted and that
+    one or two rows for each can be broadcast, which saves moving all values again.
     """
     keys = list(keys)
     # Monotone in the value, zero at zero, finer than any price band needs.
@@ -83,7 +97,7 @@ def split_median(
 
     same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_m_{k}")) for k in keys])
     in_bucket = Window.partitionBy(*keys, "_b").orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)
-    placed = counted.join(middle, same & (F.col("_b") == F.col("_mb"))).select(
+    placed = counted.join(F.broadcast(middle) if few_groups else middle, same & (F.col("_b") == F.col("_mb"))).select(
         *keys, "_v", "_total", "_low", "_high",
         (F.col("_before") + F.sum("_n").over(in_bucket)).alias("_rank"),
     )

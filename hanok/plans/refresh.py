@@ -52,7 +52,8 @@ def incremental_load(
 
 def build_marts(spark: SparkSession, raw: DataFrame, database: str) -> None:
     """Write typed trades and every mart as tables; later steps start from those, not from raw."""
-    lake.replace_table(marts.trades_from_raw(raw), f"{database}.trade_features", ["year", "month"])
+    # By month: the marts' month windows then skip whole folders.
+    lake.replace_table(marts.trades_from_raw(raw), f"{database}.trade_features", ["deal_month_date"])
     trades = spark.table(f"{database}.trade_features")
     lake.replace_table(marts.region_monthly_stats(trades), f"{database}.region_monthly_stats")
     lake.replace_table(marts.complex_monthly_median(trades), f"{database}.complex_monthly_median", ["deal_month_date"])
