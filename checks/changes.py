@@ -183,12 +183,15 @@ def r1_without_stale_pages(spark, sf):
 
 
 @check("f27_page_fingerprint", sql(
-    """SELECT lawd_cd, deal_ym, page_no, md5(concat_ws(':', CAST(count(*) AS VARCHAR),
-            CAST(sum(CAST('0x' || substr(h, 1, 15) AS BIGINT)) AS VARCHAR), CAST(sum(CAST('0x' || substr(h, 17, 15) AS BIGINT)) AS VARCHAR))) AS fingerprint
-        FROM (SELECT *, md5('=' || orderkey || chr(31) || '=' || partkey || chr(31) || '=' || CAST(round(price * 100) AS BIGINT)
-                     || chr(31) || '=' || CAST(area AS BIGINT)) AS h FROM pages_all) GROUP BY lawd_cd, deal_ym, page_no""", "pages_all"))
+    """SELECT lawd_cd, deal_ym, page_no, count(*) OVER (PARTITION BY body) AS same_content
+        FROM (SELECT lawd_cd, deal_ym, page_no, string_agg(CAST(area AS BIGINT) || '/' || (tax > 0.06), ',' ORDER BY area, tax > 0.06) AS body
+              FROM pages_all GROUP BY lawd_cd, deal_ym, page_no)""", "pages_all"))
 def f27_page_fingerprint(spark, sf):
-    return ch.page_fingerprints(page_rows(spark, sf), CONTENT).select(*ch.PAGE_KEYS, "fingerprint")
+    """Pages with the same fingerprint have the same rows: how many share a page's content."""
+    rows = page_rows(spark, sf).withColumn("high", F.col("tax") > 0.06)
+    prints = ch.page_fingerprints(rows, ["area", "high"])
+    shared = prints.groupBy("fingerprint").agg(F.count(F.lit(1)).alias("same_content"))
+    return prints.join(shared, "fingerprint").select(*ch.PAGE_KEYS, "same_content")
 
 
 @check("f28_plain_etag", sql(

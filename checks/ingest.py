@@ -312,19 +312,20 @@ PRICE_SQL = sql(
 
 @check("s16_price_history_json", PRICE_SQL)
 def s16_price_history_json(spark, sf):
-    """Nested price answers, one per complex, unit type and month, flattened again."""
+    """Nested price answers flattened again."""
     from hanok.sources.responses import price_history
 
     item = (
         "named_struct('tradeYear', concat(year(deal_date), '년'), 'tradeMonth', CASE WHEN areaNo = 1 THEN NULL ELSE month(deal_date) END, "
         "'dealPrice', floor(dealPrice), 'formattedTradeYearMonth', date_format(deal_date, 'yyyy.MM.dd'))"
     )
-    # A month of one unit type is one answer.
-    answers = (
-        trades(spark, sf).groupBy("complexNo", "areaNo", "deal_month_date")
-        .agg(F.expr(f"to_json(named_struct('realPriceOnMonthList', array(named_struct('realPriceList', collect_list({item})))))").alias("body"))
+    # One answer per trade, with a second month that has none.
+    answers = trades(spark, sf).selectExpr(
+        "complexNo", "cast(areaNo AS bigint) AS areaNo",
+        f"""to_json(named_struct('realPriceOnMonthList', array(named_struct('realPriceList', array({item})),
+            named_struct('realPriceList', slice(array({item}), 1, 0))))) AS body""",
     )
-    out = price_history(answers.selectExpr("complexNo", "cast(areaNo AS bigint) AS areaNo", "body"))
+    out = price_history(answers)
     return out.select("complexNo", "areaNo", "tradeYear", "tradeMonth", "dealPrice")
 
 

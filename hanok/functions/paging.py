@@ -6,8 +6,6 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, functions as F
 
-from hanok.functions.text import canonical_row
-
 
 def total_pages(total: Column, rows_per_page: Column) -> Column:
     """Pages needed for ``total`` rows; never less than one."""
@@ -36,19 +34,23 @@ def percent_position(total_slots: Column, slot: Column, page_no: Column, pages:
     return F.when(total_slots > 0, (clamped + F.coalesce(within, F.lit(0.0))) / slots * 100).otherwise(F.lit(0.0))
 
 
-def _hex_part(digest: Column, start: int) -> Column:
-    # 15 hex digits always fit a signed 64-bit number.
-    return F.conv(F.substring(digest, start, 15), 16, 10).cast("decimal(38,0)")
+def _row_hash(columns: Sequence[str], seed: int) -> Column:
+    # Spark's hash passes over NULLs, so their places are hashed as a number of their own.
+    places = " + ".join(f"if(`{c}` IS NULL, {2**i}L, 0L)" for i, c in enumerate(columns))
+    cells = ", ".join(f"`{c}`" for c in columns)
+    return F.expr(f"cast(xxhash64({seed}, {cells}, {places}) AS decimal(20, 0))")
 
 
 def content_fingerprint(columns: Sequence[str]) -> Column:
-    """Aggregate fingerprint of a group of rows, whatever their order.
+    """Aggregate fingerprint of a group of rows, whatever their order: 32 hex digits.
 
-    The MD5 of every row is summed in two 60-bit halves, so a page is compared
+    Two 64-bit hashes of every row are summed, so a page is compared
     without ever gathering its rows in one place: the sums combine before the
     shuffle, and a huge page costs one small buffer. Reordered rows count as
-    unchanged; a repeated row does not cancel out.
+    unchanged; a repeated row does not cancel out. Both sides of a comparison need the
+    same column types.
     """
-    digest = F.md5(canonical_row(columns))
-    sums = [F.coalesce(F.sum(_hex_part(digest, s)).cast("string"), F.lit("0")) for s in (1, 17)]
+    if len(columns) > 62:
+        raise ValueError("at most 62 columns")
+    sums = [F.coalesce(F.sum(_row_hash(columns, seed)).cast("string"), F.lit("0")) for seed in (17, 71)]
     return F.md5(F.concat_ws(":", F.count(F.lit(1)).cast("string"), *sums))

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 
@@ -18,21 +16,19 @@ def first_filled(*options: Column) -> Column:
 
 
 def _bare_number(c: Column) -> Column:
-    return F.regexp_replace(F.trim(c), ",", "")
+    return F.replace(F.trim(c), F.lit(","), F.lit(""))
 
 
 def lenient_long(c: Column) -> Column:
-    """Whole number from text such as ``' 120,000 '``; NULL where it is none."""
-    bare = _bare_number(c)
-    # "84.97" is no whole number; a plain cast would silently drop the fraction.
-    return F.when(bare.rlike(r"^[+-]?[0-9]+$"), bare.try_cast("bigint"))
+    """Whole number from text such as ``' 120,000 '``; NULL where it is none, as for ``84.97``."""
+    return _bare_number(c).try_cast("bigint")
 
 
 def lenient_double(c: Column) -> Column:
-    """Number from text with blanks and thousands commas; NULL where it is none."""
+    """Finite number from text with blanks and thousands commas; NULL where it is none."""
     bare = _bare_number(c)
     # Spark reads "84d" and "84f" as numbers; they are none here.
-    return F.when(~bare.rlike(r"[0-9.][dDfF]$"), bare.try_cast("double"))
+    return F.when(~F.lower(F.right(bare, F.lit(1))).isin("d", "f"), bare.try_cast("double"))
 
 
 def trim_strings(df: DataFrame) -> DataFrame:
@@ -107,11 +103,3 @@ def plain_etag(c: Column) -> Column:
     """The MD5 in an object tag; NULL for multipart tags and other lengths."""
     bare = F.regexp_replace(F.trim(c), r'^"+|"+$', "")
     return F.when((F.length(bare) == 32) & ~bare.contains("-"), bare)
-
-
-def canonical_row(columns: Sequence[str]) -> Column:
-    """One string per row that differs whenever a cell differs, NULLs included."""
-    cells = [
-        F.coalesce(F.concat(F.lit("="), F.col(c).cast("string")), F.lit("~")) for c in columns
-    ]
-    return F.concat_ws("\u001f", *cells)

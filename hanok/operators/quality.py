@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from hanok.functions import dates, text
 
@@ -100,6 +100,18 @@ def code_list_in_file_order(df: DataFrame, order: str, candidates: Sequence[str]
     )
 
 
+def choose_codes(spark: SparkSession, named: Sequence[str] = (), code_table: DataFrame | None = None, region_table: DataFrame | None = None, order: str = "line") -> DataFrame:
+    """Codes by precedence: those named, else a code table's, else those of a region table's ``cortarNo``."""
+    if named:
+        rows = [(i, c.strip()) for i, c in enumerate(named) if c.strip()]
+        return code_list_in_file_order(spark.createDataFrame(rows, f"{order} INT, lawd_cd STRING"), order)
+    if code_table is not None:
+        return code_list_in_file_order(code_table, order, ("lawd_cd", "lawdcode", "code"))
+    if region_table is not None:
+        return code_list_in_file_order(region_table, order, ("cortarno",))
+    raise ValueError("no codes, code table or region table given")
+
+
 def union_by_name(*frames: DataFrame) -> DataFrame:
     """Frames with differing columns put together; absent columns become NULL."""
     out = frames[0]

@@ -133,6 +133,17 @@ def crawl_plan(
     return with_percent(within_quota(with_pages(ahead, pages, cursor), limit))
 
 
+def state_cursor(state: DataFrame, ignore_done: bool = False) -> tuple[bool, tuple[str, str, int] | None]:
+    """Whether a backfill has work left, and its cursor, from the one-row state document.
+
+    A finished backfill is left alone unless ``ignore_done``.
+    """
+    row = state.select("done", "cursor.lawd_cd", "cursor.deal_ym", F.coalesce("cursor.page_no", F.lit(1)).alias("page_no")).first()
+    if row.done and not ignore_done:
+        return False, None
+    return True, (row.lawd_cd, row.deal_ym, row.page_no) if row.lawd_cd and row.deal_ym else None
+
+
 def cycle_position(visit: Column, total_slots: Column) -> Column:
     """Cycle and slot of the n-th slot visit of an endless crawl."""
     return F.struct(F.floor(visit / total_slots).alias("cycle"), F.pmod(visit, total_slots).alias("slot_idx"))

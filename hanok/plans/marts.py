@@ -33,27 +33,35 @@ def trades_from_raw(raw: DataFrame) -> DataFrame:
     """Typed trades of the raw table: trimmed, cancelled ones removed, equal rows kept once.
 
     Equal rows collapse before the shuffle, and the shuffle spreads by the whole row.
+    Columns are made in steps, so that no parser runs twice for one cell.
     """
-    clean = text.trim_strings(raw)
-    live = clean.where(text.blank_to_null(F.col("cdealType")).isNull())
-    amount, area = text.lenient_long(F.col("dealAmount")), text.lenient_double(F.col("excluUseAr"))
-    typed = live.select(
-        F.coalesce(text.blank_to_null(F.col("sggCd")), F.col("lawdCd")).alias("sggcd"),
-        text.blank_to_null(F.col("estateAgentSggNm")).alias("estateagentsggnm"),
-        text.blank_to_null(F.col("aptSeq")).alias("aptseq"),
-        text.blank_to_null(F.col("aptNm")).alias("aptnm"),
-        text.blank_to_null(F.col("aptDong")).alias("aptdong"),
-        text.blank_to_null(F.col("jibun")).alias("jibun"),
-        dates.loose_date(*[text.lenient_long(F.col(c)) for c in ("dealYear", "dealMonth", "dealDay")]).alias("deal_date"),
-        amount.alias("deal_amount"),
-        area.alias("area"),
-        text.lenient_long(F.col("floor")).alias("floor"),
-        text.lenient_long(F.col("buildYear")).alias("build_year"),
+    filled = lambda c: text.blank_to_null(F.col(c))
+    whole = lambda c: text.lenient_long(F.col(c))
+    cells = raw.where(filled("cdealType").isNull()).select(
+        F.coalesce(filled("sggCd"), F.col("lawdCd")).alias("sggcd"),
+        filled("estateAgentSggNm").alias("estateagentsggnm"),
+        filled("aptSeq").alias("aptseq"),
+        filled("aptNm").alias("aptnm"),
+        filled("aptDong").alias("aptdong"),
+        filled("jibun").alias("jibun"),
+        whole("dealYear").alias("_y"),
+        whole("dealMonth").alias("_m"),
+        whole("dealDay").alias("_d"),
+        whole("dealAmount").alias("deal_amount"),
+        text.lenient_double(F.col("excluUseAr")).alias("area"),
+        whole("floor").alias("floor"),
+        whole("buildYear").alias("build_year"),
         "year",
         "month",
-        price_per_area(amount, area).alias("ppsqm_krw"),
     )
-    return typed.withColumn("deal_month_date", dates.month_start(F.col("deal_date"))).distinct()
+    dated = cells.withColumn("deal_date", dates.loose_date(F.col("_y"), F.col("_m"), F.col("_d"))).drop("_y", "_m", "_d")
+    # What follows from these columns is added after equal rows are gone.
+    return dated.distinct().withColumns(
+        {
+            "deal_month_date": dates.month_start(F.col("deal_date")),
+            "ppsqm_krw": price_per_area(F.col("deal_amount"), F.col("area")),
+        }
+    )
 
 
 def last_month_of(trades: DataFrame) -> Column:

@@ -87,3 +87,15 @@ def publish_boards(spark: SparkSession, database: str) -> DatasetCatalog:
     catalog = board_catalog({name: spark.table(f"{database}.{name}") for name in MART_TABLES})
     catalog.publish_views()
     return catalog
+
+
+def write_boards(spark: SparkSession, database: str) -> list[str]:
+    """Write every board as a table. A board that others refer to is read back, not computed again."""
+    sources = {name: spark.table(f"{database}.{name}") for name in MART_TABLES}
+    written: list[str] = []
+    for name in board_catalog(sources).names():
+        # Definitions stand in dependency order; what is written becomes a source of the rest.
+        lake.replace_table(board_catalog(sources).get(name), f"{database}.{name}")
+        sources[name] = spark.table(f"{database}.{name}")
+        written.append(name)
+    return written

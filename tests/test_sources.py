@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from hanok.schema import COMPLEX_SCHEMA, RESPONSE_SCHEMA, TRADE_SCHEMA
 from hanok.operators import quality
 from hanok.operators.changes import run_manifest
+from hanok.operators.worklist import state_cursor
 from hanok.sinks.files import write_manifest
 from hanok.sources import files, responses
 
@@ -111,6 +112,9 @@ def test_state_defaults(spark, tmp_path):
     new = tmp_path / "new.json"
     new.write_text('{"version": 2, "done": true}')
     assert files.read_state(spark, str(new)).select("version", "done").first() == (2, True)
+    cursor = lambda p, *a: state_cursor(files.read_state(spark, str(p)), *a)
+    assert cursor(tmp_path / "none.json") == (True, None) and cursor(old) == (True, ("11110", "202401", 3))
+    assert cursor(new) == (False, None) and cursor(new, True) == (True, None)
 
 
 def test_manifest_round_trip(spark, tmp_path):
@@ -165,6 +169,16 @@ def test_code_lists(spark):
         quality.code_list(spark.createDataFrame([("1",)], "other STRING"))
 
 
+def test_code_precedence(spark):
+    table = spark.createDataFrame([(1, "22222")], "line INT, lawdCode STRING")
+    regions = spark.createDataFrame([(1, "3333300000")], "line INT, cortarNo STRING")
+    pick = lambda *a: [r.lawd_cd for r in quality.choose_codes(spark, *a).collect()]
+    assert pick(["11110", " ", "11111"], table, regions) == ["11110", "11111"]
+    assert pick([], table, regions) == ["22222"] and pick([], None, regions) == ["33333"]
+    with pytest.raises(ValueError):
+        pick([], regions)
+
+
 def test_normalised_row(spark):
     df = spark.createDataFrame(
         [("  120,000 ", "2005", "2024", " 5 ", " 3 ", " 84.97 ", " 10 ", "  text  ")], ["거래금액", "건축년도", "년", "월", "일", "전용면적", "층", "other"]
