@@ -121,10 +121,11 @@ def complex_bucket_12m(trades: DataFrame, bucket: Column | None = None, hot_rows
 def region_names(features: DataFrame, since_year: int = 2024) -> DataFrame:
     """Latest non-blank name per region; of several names in its latest month the last in order.
 
-    Names are counted out per month first, so the second step orders a handful of rows.
+    Names become distinct first: that step hashes, while a maximum of texts sorts its input.
     """
     named = features.where(text.blank_to_null(F.col("estateagentsggnm")).isNotNull() & (F.col("year") >= since_year))
-    by_month = named.groupBy("sggcd", "deal_month_date").agg(F.max("estateagentsggnm").alias("_name"))
+    few = named.select("sggcd", "deal_month_date", "estateagentsggnm").distinct()
+    by_month = few.groupBy("sggcd", "deal_month_date").agg(F.max("estateagentsggnm").alias("_name"))
     return by_month.groupBy("sggcd").agg(F.max_by("_name", "deal_month_date").alias("region_ko"))
 
 
