@@ -33,6 +33,7 @@ def _parser() -> argparse.ArgumentParser:
         if name == "full-load":
             p.add_argument("--recreate", action="store_true")
             p.add_argument("--append", action="store_true")
+            p.add_argument("--header", help="the header line all pages have, if they do")
     p = job("build-marts", "build typed trades and marts from the raw table", "database")
     p.add_argument("--table", default=refresh.RAW_TABLE)
     job("write-boards", "write the boards over the marts", "database")
@@ -43,7 +44,8 @@ def main(argv: list[str] | None = None) -> int:
     args = _parser().parse_args(argv)
     spark = build_session(f"hanok-{args.job}")
     if args.job == "full-load":
-        refresh.full_load(spark, args.bronze, args.table, args.location, args.recreate, args.append, args.format)
+        header = args.header.split(",") if args.header else None
+        refresh.full_load(spark, args.bronze, args.table, args.location, args.recreate, args.append, args.format, header)
     elif args.job == "incremental-load":
         done = refresh.incremental_load(spark, args.bronze, args.manifest, args.table, args.location, args.format)
         print("reflected" if done else "nothing to do")

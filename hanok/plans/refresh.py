@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 
 from hanok.operators.quality import partition_entries
@@ -16,11 +18,14 @@ RAW_TABLE = "apt_trade_raw"
 
 def full_load(
     spark: SparkSession, bronze_path: str, table: str = RAW_TABLE, location: str | None = None,
-    recreate: bool = False, append: bool = False, table_format: str = lake.PARQUET,
+    recreate: bool = False, append: bool = False, table_format: str = lake.PARQUET, header: Sequence[str] | None = None,
 ) -> None:
-    """Load the whole landing zone. Partitions are replaced, so a second run adds nothing; ``append`` adds."""
+    """Load the whole landing zone. Partitions are replaced, so a second run adds nothing; ``append`` adds.
+
+    ``header`` saves one reading of the files where all are known to have it.
+    """
     lake.create_table(spark, table, RAW_SCHEMA, RAW_PARTITION_COLUMNS, location, recreate, table_format)
-    rows = bronze.scan_all(spark, bronze_path)
+    rows = bronze.scan_all(spark, bronze_path, header)
     if append:
         lake.append(rows, table, RAW_PARTITION_COLUMNS, table_format)
     else:
@@ -59,7 +64,7 @@ def build_marts(spark: SparkSession, raw: DataFrame, database: str) -> None:
     lake.replace_table(marts.complex_monthly_median(trades), f"{database}.complex_monthly_median", ["deal_month_date"])
     lake.replace_table(marts.region_last12m(trades), f"{database}.region_last12m")
     lake.replace_table(marts.complex_bucket_12m(trades), f"{database}.complex_bucket_12m")
-    lake.replace_table(marts.region_names(trades, since_year=0), f"{database}.region_names")
+    lake.replace_table(marts.region_names(trades), f"{database}.region_names")
 
 
 MART_TABLES = ("region_monthly_stats", "complex_monthly_median", "region_last12m", "complex_bucket_12m", "region_names")

@@ -50,6 +50,16 @@ def test_one_header_needs_no_join(spark, tmp_path):
     assert "Join" not in df._jdf.queryExecution().optimizedPlan().toString()
 
 
+def test_a_known_header_is_read_once_and_enforced(spark, tmp_path):
+    page(tmp_path, "11110", "202401", 1, "aptNm,floor\nA,1\n")
+    page(tmp_path, "11110", "202401", 2, "aptNm,floor\nB,2\n")
+    df = bronze.scan_all(spark, str(tmp_path), ["aptNm", "floor"])
+    assert rows(df.select("aptNm", "floor", "jibun", "lawdCd")) == [("A", "1", None, "11110"), ("B", "2", None, "11110")]
+    page(tmp_path, "11110", "202401", 3, "floor,aptNm\n3,C\n")
+    with pytest.raises(Exception, match="[Hh]eader"):
+        bronze.scan_all(spark, str(tmp_path), ["aptNm", "floor"]).collect()
+
+
 def test_a_split_file_keeps_its_header_once(spark, tmp_path):
     page(tmp_path, "11110", "202401", 1, "floor,aptNm\n" + "".join(f"{i},name{i}\n" for i in range(5000)))
     page(tmp_path, "11110", "202401", 2, "aptNm,floor\nlast,9999\n")
