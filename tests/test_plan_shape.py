@@ -35,6 +35,10 @@ def test_unit_prices_hash_without_sorting(spark):
     assert "SortAggregate" not in text and "ObjectHashAggregate" not in text
 
 
+def test_an_answer_is_parsed_once(spark):
+    assert plan(QUERIES["s14_xml_pages"](spark, SF)).count("from_xml(") == 1
+
+
 def test_scans_read_only_what_they_need(spark):
     text = plan(QUERIES["avg_price_by_date"](spark, SF))
     assert "PushedFilters: [IsNotNull(l_shipdate)" in text and "LessThan(l_shipdate" in text
