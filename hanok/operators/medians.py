@@ -7,10 +7,10 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-# Above this many rows a group is "hot": one task should not order it alone.
-HOT_ROWS = 5_000_000
-# At most this many hot groups are broadcast; with more, every group takes the split way.
-MAX_HOT_GROUPS = 100_000
+# A group is "hot" when it has both more rows than this and more than one in HOT_SHARE of all rows:
+# one task should not order it alone. So there are never more than HOT_SHARE hot groups.
+HOT_ROWS = 200_000
+HOT_SHARE = 20_000
 # Buckets per unit of ln(value): each covers a ten-thousandth of the value's size.
 BUCKETS_PER_LOG = 10_000
 
@@ -26,17 +26,17 @@ def grouped_median(
     """Median of ``value`` and row count per group; rows without a value are left out.
 
     Ordinary groups are ordered by ``ordered_median``: one shuffle. A first, narrow
-    count job, which combines before its shuffle, finds the groups above ``hot_rows``;
-    those alone go through ``split_median``. Both ways are exact.
+    count job, which combines before its shuffle, finds the hot groups; those alone go
+    through ``split_median``. Both ways are exact.
     """
     narrow = rows.select(*keys, value.cast("double").alias("_v")).where(F.col("_v").isNotNull())
     names = (median_name, count_name)
-    hot = narrow.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > hot_rows).select(*keys)
-    found = hot.limit(MAX_HOT_GROUPS + 1).collect()
+    sizes = narrow.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+    share = sizes.agg((F.sum("_n") / HOT_SHARE).alias("_s")).scalar()
+    hot = sizes.where((F.col("_n") > hot_rows) & (F.col("_n") > share)).select(*keys)
+    found = hot.collect()
     if not found:
         return ordered_median(narrow, keys, "_v", *names)
-    if len(found) > MAX_HOT_GROUPS:
-        return split_median(narrow, keys, "_v", *names)
     small = F.broadcast(rows.sparkSession.createDataFrame(found, hot.schema).select([F.col(k).alias(f"_h_{k}") for k in keys]))
     same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_h_{k}")) for k in keys])
     return ordered_median(narrow.join(small, same, "left_anti"), keys, "_v", *names).unionByName(
@@ -68,8 +68,8 @@ def split_median(
     Equal values collapse before the first shuffle, and values of one group
     spread over all tasks. A running count over the group's buckets, whose number depends
     on the spread of values and not on the rows, finds the one or two that hold the middle ranks; only
-    their values are ordered. ``few_groups`` says that the groups were counted and that
-    one or two rows for each can be broadcast, which saves moving all values again.
+    their values are ordered. ``few_groups`` says that there are at most
+    HOT_SHARE groups, so that one or two rows for each can be broadcast, which saves moving all values again.
     """
     keys = list(keys)
     # Monotone in the value, zero at zero, finer than any price band needs.

@@ -33,11 +33,25 @@ def test_all_ways_give_the_exact_median(spark, data, hot_rows):
     assert got == brute(data)
 
 
-def test_too_many_hot_groups_all_take_the_split_way(spark, data, monkeypatch):
-    monkeypatch.setattr("hanok.operators.medians.MAX_HOT_GROUPS", 1)
+def test_only_groups_with_a_share_are_hot(spark, data, monkeypatch):
+    """With one group in two at most, all but the largest are ordinary, however low the row limit."""
+    taken = []
+
+    def watch(rows, *args, **kwargs):
+        taken.extend(r.g for r in rows.select("g").distinct().collect())
+        return split_median(rows, *args, **kwargs)
+
+    monkeypatch.setattr("hanok.operators.medians.HOT_SHARE", 2)
+    monkeypatch.setattr("hanok.operators.medians.split_median", watch)
     df = spark.createDataFrame(data, "g STRING, v DOUBLE")
-    got = {r.g: (r.m, r.n) for r in grouped_median(df, ["g"], F.col("v"), "m", "n", 10).collect()}
-    assert got == brute(data)
+    got = {(r.g): (r.m, r.n) for r in grouped_median(df, ["g"], F.col("v"), "m", "n", 10).collect()}
+    assert taken == ["hot"] and got == brute(data)
+
+
+def test_without_hot_groups_nothing_is_split(spark, data, monkeypatch):
+    monkeypatch.setattr("hanok.operators.medians.split_median", None)
+    df = spark.createDataFrame(data, "g STRING, v DOUBLE")
+    assert grouped_median(df, ["g"], F.col("v"), "m", "n", 5000).count() == len(brute(data))
 
 
 def test_split_way_with_two_keys(spark):
