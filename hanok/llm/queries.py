@@ -7,7 +7,7 @@ from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from hanok.llm import bpe, decontaminate, quality, secrets, simhash
+from hanok.llm import bpe, chat, decontaminate, minhash, quality, secrets, simhash, warc
 from hanok.llm.shared import table
 
 
@@ -25,6 +25,10 @@ def op1_secret_scan(spark: SparkSession, sf: str) -> DataFrame:
     return secrets.scan(table(spark, sf, "documents"))
 
 
+def op2_chat_perspectives(spark: SparkSession, sf: str) -> DataFrame:
+    return chat.perspectives(table(spark, sf, "conversations"))
+
+
 def op4_bpe(spark: SparkSession, sf: str) -> DataFrame:
     return bpe.tokenize(table(spark, sf, "documents"), tokenizer_source())
 
@@ -38,16 +42,27 @@ def op6_simhash(spark: SparkSession, sf: str) -> DataFrame:
     return found.select("doc_id", simhash.fingerprint_hex(F.col("fp")).alias("fingerprint"), "component_id")
 
 
+def op8_minhash(spark: SparkSession, sf: str) -> DataFrame:
+    return minhash.compare_with_edited(table(spark, sf, "documents"))
+
+
 def op9_quality(spark: SparkSession, sf: str) -> DataFrame:
     return quality.score(table(spark, sf, "documents"), table(spark, sf, "labels"))
 
 
+def op10_warc(spark: SparkSession, sf: str) -> DataFrame:
+    return warc.archive_and_read(table(spark, sf, "pages"))
+
+
 QUERIES = {
     "op1_secret_scan": op1_secret_scan,
+    "op2_chat_perspectives": op2_chat_perspectives,
     "op4_bpe": op4_bpe,
     "op5_decontaminate": op5_decontaminate,
     "op6_simhash": op6_simhash,
+    "op8_minhash": op8_minhash,
     "op9_quality": op9_quality,
+    "op10_warc": op10_warc,
 }
 
 OP5_SQL = r"""
@@ -79,4 +94,40 @@ FROM split s LEFT JOIN hit_words h ON s.id = h.doc_id LEFT JOIN hit_items m ON s
 WHERE s.side = 0
 """
 
-SQL = {"op5_decontaminate": OP5_SQL}
+OP2_SQL = """
+WITH said AS (
+  SELECT conv_id, coalesce(CAST(turn AS BIGINT), -1) AS turn, coalesce(role, 'system') AS role, coalesce(text, '') AS said
+  FROM conversations WHERE conv_id IS NOT NULL
+), speakers AS (
+  SELECT DISTINCT conv_id, role AS speaker FROM said WHERE role <> 'system'
+), pieces AS (
+  SELECT t.conv_id, greatest(turn, 0) // 256 AS part, speaker, turn, role, said, role = speaker AS own,
+         CASE WHEN role = speaker THEN '<|im_start|>assistant' WHEN role = 'system' THEN '<|im_start|>system'
+              ELSE '<|im_start|>user name=' || role END || chr(10) AS head,
+         row_number() OVER (PARTITION BY t.conv_id, greatest(turn, 0) // 256, speaker ORDER BY turn, role, said) AS nth
+  FROM said t JOIN speakers s ON t.conv_id = s.conv_id
+), placed AS (
+  SELECT *, head || said || '<|im_end|>' || chr(10) AS piece,
+         sum(length(head || said || '<|im_end|>' || chr(10))) OVER (PARTITION BY conv_id, part, speaker ORDER BY nth)
+         - length(said || '<|im_end|>' || chr(10)) AS start
+  FROM pieces
+)
+SELECT conv_id, part, speaker, string_agg(piece, '' ORDER BY nth) AS text,
+       coalesce(string_agg(CASE WHEN own THEN CAST(start AS BIGINT) || ':' || CAST(start + length(said) AS BIGINT) END, ',' ORDER BY nth), '') AS masks,
+       count(*) AS n_turns, CAST(sum(CASE WHEN own THEN 1 ELSE 0 END) AS BIGINT) AS n_own
+FROM placed GROUP BY conv_id, part, speaker
+"""
+
+OP10_SQL = """
+WITH sized AS (
+  SELECT page_id, sha1(coalesce(html, '')) AS digest, CAST(strlen(coalesce(html, '')) AS BIGINT) AS size FROM pages
+), latest AS (
+  SELECT digest, max(page_id) AS latest FROM sized WHERE size >= 1000 GROUP BY digest
+)
+SELECT page_id, size AS payload_bytes, s.digest AS payload_digest,
+       CASE WHEN latest IS NOT NULL AND page_id IS DISTINCT FROM latest THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN latest IS NOT NULL AND page_id IS DISTINCT FROM latest THEN latest END AS refers_to
+FROM sized s LEFT JOIN latest m ON s.digest = m.digest AND size >= 1000
+"""
+
+SQL = {"op2_chat_perspectives": OP2_SQL, "op10_warc": OP10_SQL, "op5_decontaminate": OP5_SQL}
