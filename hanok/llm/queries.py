@@ -7,7 +7,7 @@ from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from hanok.llm import bpe, chat, decontaminate, minhash, quality, secrets, simhash, warc
+from hanok.llm import bpe, chat, decontaminate, licenses, minhash, quality, secrets, simhash, urls, warc
 from hanok.llm.shared import table
 
 
@@ -29,6 +29,10 @@ def op2_chat_perspectives(spark: SparkSession, sf: str) -> DataFrame:
     return chat.perspectives(table(spark, sf, "conversations"))
 
 
+def op3_url_filter(spark: SparkSession, sf: str) -> DataFrame:
+    return urls.judge(table(spark, sf, "pages"))
+
+
 def op4_bpe(spark: SparkSession, sf: str) -> DataFrame:
     return bpe.tokenize(table(spark, sf, "documents"), tokenizer_source())
 
@@ -42,6 +46,10 @@ def op6_simhash(spark: SparkSession, sf: str) -> DataFrame:
     return found.select("doc_id", simhash.fingerprint_hex(F.col("fp")).alias("fingerprint"), "component_id")
 
 
+def op7_license_scan(spark: SparkSession, sf: str) -> DataFrame:
+    return licenses.licences(licenses.documents_as_files(table(spark, sf, "documents")))
+
+
 def op8_minhash(spark: SparkSession, sf: str) -> DataFrame:
     return minhash.compare_with_edited(table(spark, sf, "documents"))
 
@@ -57,9 +65,11 @@ def op10_warc(spark: SparkSession, sf: str) -> DataFrame:
 QUERIES = {
     "op1_secret_scan": op1_secret_scan,
     "op2_chat_perspectives": op2_chat_perspectives,
+    "op3_url_filter": op3_url_filter,
     "op4_bpe": op4_bpe,
     "op5_decontaminate": op5_decontaminate,
     "op6_simhash": op6_simhash,
+    "op7_license_scan": op7_license_scan,
     "op8_minhash": op8_minhash,
     "op9_quality": op9_quality,
     "op10_warc": op10_warc,
