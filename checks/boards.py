@@ -219,7 +219,7 @@ def p12_latest_period(spark, sf):
 @check(
     "p9_null_rejecting_join",
     sql(
-        "SELECT r.sggcd, n.region_ko, r.trades FROM region_year r JOIN names n USING (sggcd)",
+        "SELECT r.sggcd, n.region_ko, r.trades FROM region_year r JOIN names n USING (sggcd) WHERE n.region_ko IS NOT NULL",
         "region_year",
         "names",
     ),

@@ -145,7 +145,7 @@ def status(spark, sf):
     last_digit = F.col("deal_ym").substr(6, 1)
     total = F.when(last_digit == "3", 6).when(last_digit == "5", 8).otherwise(7)
     # Markers of months a year on, which have no pages after the tables end.
-    later = dates.month_code(F.add_months(dates.month_from_code(F.col("deal_ym")), 12))
+    later = dates.month_code(F.add_months(dates.month_from_code(F.col("deal_ym")), 120))
     return partitions.withColumn("total_pages", total).unionByName(
         partitions.where(F.col("deal_ym") >= "200007").withColumn("deal_ym", later).withColumn("total_pages", F.lit(1))
     )
@@ -153,7 +153,7 @@ def status(spark, sf):
 
 STATUS = """SELECT DISTINCT lawd_cd, deal_ym, CASE substr(deal_ym, 6, 1) WHEN '3' THEN 6 WHEN '5' THEN 8 ELSE 7 END AS total_pages
     FROM pages_all WHERE lawd_cd <> '00000'
-    UNION ALL SELECT DISTINCT lawd_cd, strftime(strptime(deal_ym, '%Y%m') + INTERVAL 12 MONTH, '%Y%m'), 1
+    UNION ALL SELECT DISTINCT lawd_cd, strftime(strptime(deal_ym, '%Y%m') + INTERVAL 120 MONTH, '%Y%m'), 1
     FROM pages_all WHERE lawd_cd <> '00000' AND deal_ym >= '200007'"""
 
 

@@ -27,21 +27,23 @@ def raw_rows(spark, sf):
         F.concat(F.dayofmonth("deal_date").cast("string"), F.lit(" ")).alias("dealDay"),
         F.when(F.col("flag") == "R", "O").otherwise(" ").alias("cdealType"),
         F.col("areaNo").cast("string").alias("floor"),
+        F.col("orderkey").cast("string").alias("buyerGbn"),
         F.year("deal_date").alias("year"),
         F.month("deal_date").alias("month"),
     )
     typed = text.try_cast_to(raw, RAW_SCHEMA)
-    # A second delivery of some pages.
-    return union_by_name(typed, typed.where(F.col("floor") == "3"))
+    # A second delivery of some pages, and rows with a mistyped year.
+    again = union_by_name(typed, typed.where(F.col("floor") == "3"))
+    return union_by_name(again, typed.where(F.col("floor") == "4").withColumn("dealYear", F.lit("2204")))
 
 
 @check(
     "m1_trade_features",
     sql(
-        """SELECT DISTINCT sggcd, aptseq, aptnm, deal_date, deal_month_date, CAST(floor(price) AS BIGINT) AS deal_amount, area,
+        """SELECT sggcd, aptseq, aptnm, deal_date, deal_month_date, CAST(price AS BIGINT) AS deal_amount, area,
                CAST(areaNo AS BIGINT) AS floor, CAST(year(deal_date) AS INTEGER) AS year, CAST(month(deal_date) AS INTEGER) AS month,
-               round(floor(price) * 10000 / area, 4) AS ppsqm_krw
-        FROM trade""",
+               round(price * 10000 / area, 4) AS ppsqm_krw
+        FROM (SELECT DISTINCT orderkey, sggcd, aptseq, aptnm, deal_date, deal_month_date, floor(price) AS price, area, areaNo FROM trade)""",
         "trade",
     ),
 )
@@ -69,8 +71,8 @@ def region_monthly_stats(spark, sf):
 
 @check("m2_region_monthly_hot_groups", REGION_MONTH)
 def m2_region_monthly_hot_groups(spark, sf):
-    """The same mart with every group of more than 30 trades taking the way of hot groups."""
-    return rounded(marts.region_monthly_stats(trades(spark, sf), hot_rows=30), median_ppsqm_krw=4)
+    """The same mart from trades that are dealt unevenly."""
+    return rounded(marts.region_monthly_stats(trades(spark, sf).repartition(3, "area")), median_ppsqm_krw=4)
 
 
 @check(
@@ -98,7 +100,7 @@ def region_last12m(spark, sf):
 
 @check("m4_region_last12m_hot_groups", REGION_YEAR)
 def m4_region_last12m_hot_groups(spark, sf):
-    return rounded(marts.region_last12m(trades(spark, sf), hot_rows=0), median_ppsqm_krw_12m=4)
+    return rounded(marts.region_last12m(trades(spark, sf).repartition(3, "area")), median_ppsqm_krw_12m=4)
 
 
 def buckets(spark, sf):

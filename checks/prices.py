@@ -58,7 +58,7 @@ def a10_mean_and_deviation(spark, sf):
 @check(
     "a11_first_last_per_group",
     sql(
-        """SELECT complexNo, areaNo, arg_min(price, (deal_date, price)) AS start_price, arg_max(price, (deal_date, price)) AS end_price
+        """SELECT complexNo, areaNo, arg_min(price, (deal_date, price)) AS start_price, arg_max(price, (deal_date, -price)) AS end_price
         FROM trade GROUP BY complexNo, areaNo""",
         "trade",
     ),
@@ -72,7 +72,7 @@ def a11_first_last_per_group(spark, sf):
     sql(
         """SELECT f.complexNo, f.areaNo, f.price AS start_price, l.price AS end_price
         FROM (SELECT * FROM trade QUALIFY row_number() OVER (PARTITION BY complexNo, areaNo ORDER BY deal_date, price) = 1) f
-        JOIN (SELECT * FROM trade QUALIFY row_number() OVER (PARTITION BY complexNo, areaNo ORDER BY deal_date DESC, price DESC) = 1) l
+        JOIN (SELECT * FROM trade QUALIFY row_number() OVER (PARTITION BY complexNo, areaNo ORDER BY deal_date DESC, price) = 1) l
           ON l.complexNo = f.complexNo AND l.areaNo = f.areaNo""",
         "trade",
     ),
@@ -80,9 +80,9 @@ def a11_first_last_per_group(spark, sf):
 def j4_first_joined_to_last(spark, sf):
     """First trades joined to last trades, in the join form."""
     t = trades(spark, sf)
-    days = pc.daily_extremes(t)
+    days = pc.daily_lowest(t)
     first = days.groupBy(*pc.UNIT).agg(F.min_by("_low", "date").alias("start_price"))
-    last = days.groupBy(*pc.UNIT).agg(F.max_by("_high", "date").alias("end_price"))
+    last = days.groupBy(*pc.UNIT).agg(F.max_by("_low", "date").alias("end_price"))
     return first.join(last, list(pc.UNIT))
 
 
@@ -341,7 +341,7 @@ def j10_offset_lookup(spark, sf):
 
 FRAMES = f"""frame AS (SELECT CAST(unnest(generate_series(DATE '1997-03-01', DATE '{END}', INTERVAL 1 MONTH)) AS DATE) AS frame_month),
     shown AS (SELECT f.frame_month, least(last_day(f.frame_month), DATE '{END}') AS frame_end, t.complexNo, t.areaNo,
-                     arg_min(t.price, (t.deal_date, t.price)) AS p0, arg_max(t.price, (t.deal_date, t.price)) AS p1
+                     arg_min(t.price, (t.deal_date, t.price)) AS p0, arg_max(t.price, (t.deal_date, -t.price)) AS p1
               FROM frame f JOIN trade t ON t.deal_date BETWEEN DATE '{START}' AND least(last_day(f.frame_month), DATE '{END}')
               GROUP BY ALL),
     rated AS (SELECT *, (p1 - p0) / p0 * 100 AS rate FROM shown),

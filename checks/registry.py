@@ -41,13 +41,9 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
-# Last day taken into account: the months after it are not complete in the tables.
-CUT = "2001-07-01"
-
-
 def all_trades(spark: SparkSession, sf: str) -> DataFrame:
     """Trades read off the order lines: a supplier is a complex, its nation the region."""
-    lines = table(spark, sf, "lineitem").where(f"l_shipdate < timestamp_ntz'{CUT} 00:00:00'")
+    lines = table(spark, sf, "lineitem")
     complexes = table(spark, sf, "supplier").selectExpr("s_suppkey", "s_name", "lpad(cast(s_nationkey AS string), 5, '0') AS sggcd")
     return lines.join(complexes, F.expr("l_suppkey = s_suppkey")).selectExpr(
         "sggcd",
@@ -78,8 +74,8 @@ def trades(spark: SparkSession, sf: str) -> DataFrame:
 
 def names(spark: SparkSession, sf: str) -> DataFrame:
     """Region names; the last regions have none, so their code stands in."""
-    nation = table(spark, sf, "nation").where("n_nationkey < 20")
-    return nation.selectExpr("lpad(cast(n_nationkey AS string), 5, '0') AS sggcd", "n_name AS region_ko")
+    nation = table(spark, sf, "nation")
+    return nation.selectExpr("lpad(cast(n_nationkey AS string), 5, '0') AS sggcd", "if(n_nationkey < 20, n_name, NULL) AS region_ko")
 
 
 def complexes(spark: SparkSession, sf: str) -> DataFrame:
@@ -96,13 +92,13 @@ def complexes(spark: SparkSession, sf: str) -> DataFrame:
 RELATIONS: dict[str, tuple[tuple[str, ...], str]] = {
     "all_trade": (
         (),
-        f"""SELECT lpad(CAST(s_nationkey AS VARCHAR), 5, '0') AS sggcd, CAST(l_suppkey AS VARCHAR) AS aptseq,
+        """SELECT lpad(CAST(s_nationkey AS VARCHAR), 5, '0') AS sggcd, CAST(l_suppkey AS VARCHAR) AS aptseq,
                s_name AS aptnm, l_suppkey AS complexNo, l_linenumber AS areaNo,
                CAST(l_shipdate AS DATE) AS deal_date, CAST(date_trunc('month', l_shipdate) AS DATE) AS deal_month_date,
                l_extendedprice AS price, l_quantity AS area, l_extendedprice / l_quantity AS ppsqm,
                CAST(CAST(floor(l_quantity / 10) AS BIGINT) AS VARCHAR) AS bucket, l_returnflag AS flag,
                l_orderkey AS orderkey, l_partkey AS partkey, l_discount AS discount, l_tax AS tax
-        FROM lineitem JOIN supplier ON l_suppkey = s_suppkey WHERE l_shipdate < TIMESTAMP '{CUT}'""",
+        FROM lineitem JOIN supplier ON l_suppkey = s_suppkey""",
     ),
     "trade": (("all_trade",), "SELECT * FROM all_trade WHERE flag <> 'R'"),
     "newest": (("trade",), "SELECT max(deal_month_date) AS m FROM trade"),
@@ -131,7 +127,7 @@ RELATIONS: dict[str, tuple[tuple[str, ...], str]] = {
     ),
     "names": (
         (),
-        "SELECT lpad(CAST(n_nationkey AS VARCHAR), 5, '0') AS sggcd, n_name AS region_ko FROM nation WHERE n_nationkey < 20",
+        "SELECT lpad(CAST(n_nationkey AS VARCHAR), 5, '0') AS sggcd, CASE WHEN n_nationkey < 20 THEN n_name END AS region_ko FROM nation",
     ),
     "complex": (
         (),
@@ -171,7 +167,7 @@ RELATIONS: dict[str, tuple[tuple[str, ...], str]] = {
     "unit_change": (
         ("trade",),
         """SELECT *, (p1 - p0) / p0 * 100 AS rate, p1 - p0 AS amount
-        FROM (SELECT complexNo, areaNo, min(price) FILTER (deal_date = d0) AS p0, max(price) FILTER (deal_date = d1) AS p1
+        FROM (SELECT complexNo, areaNo, min(price) FILTER (deal_date = d0) AS p0, min(price) FILTER (deal_date = d1) AS p1
               FROM (SELECT *, min(deal_date) OVER u AS d0, max(deal_date) OVER u AS d1 FROM trade
                     WHERE deal_date BETWEEN DATE '1997-02-10' AND DATE '1999-10-20' WINDOW u AS (PARTITION BY complexNo, areaNo))
               GROUP BY complexNo, areaNo)""",

@@ -55,9 +55,9 @@ def main(argv: list[str] | None = None) -> int:
         lake.drop_table(spark, args.table)
     elif args.job == "build-marts":
         lake.create_database(spark, args.database)
-        refresh.build_marts(spark, spark.table(args.table), args.database)
+        refresh.build_marts(spark, spark.table(args.table), args.database, args.format)
     elif args.job == "write-boards":
-        print("\n".join(refresh.write_boards(spark, args.database)))
+        print("\n".join(refresh.write_boards(spark, args.database, args.format)))
     return 0
 
 

@@ -7,76 +7,42 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-# A group is "hot" when it has both more rows than this and more than one in HOT_SHARE of all rows:
-# one task should not order it alone. So there are never more than HOT_SHARE hot groups.
-HOT_ROWS = 200_000
-HOT_SHARE = 20_000
 # Buckets per unit of ln(value): each covers a ten-thousandth of the value's size.
 BUCKETS_PER_LOG = 10_000
 
 
-def grouped_median(
-    rows: DataFrame,
-    keys: Sequence[str],
-    value: Column,
-    median_name: str,
-    count_name: str,
-    hot_rows: int = HOT_ROWS,
-) -> DataFrame:
-    """Median of ``value`` and row count per group; rows without a value are left out.
+def grouped_median(rows: DataFrame, keys: Sequence[str], value: Column, median_name: str, count_name: str) -> DataFrame:
+    """Exact median of ``value`` and row count per group, one way for groups of every size; rows without a value are left out.
 
-    Ordinary groups are ordered by ``ordered_median``: one shuffle. A first, narrow
-    count job, which combines before its shuffle, finds the hot groups; those alone go
-    through ``split_median``. Both ways are exact.
+    Values are ordered like a sort does: negative infinity first, infinity and then NaN last. Nothing is computed
+    while the plan is built.
     """
     narrow = rows.select(*keys, value.cast("double").alias("_v")).where(F.col("_v").isNotNull())
-    names = (median_name, count_name)
-    sizes = narrow.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-    share = sizes.agg((F.sum("_n") / HOT_SHARE).alias("_s")).scalar()
-    hot = sizes.where((F.col("_n") > hot_rows) & (F.col("_n") > share)).select(*keys)
-    found = hot.collect()
-    if not found:
-        return ordered_median(narrow, keys, "_v", *names)
-    small = F.broadcast(rows.sparkSession.createDataFrame(found, hot.schema).select([F.col(k).alias(f"_h_{k}") for k in keys]))
-    same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_h_{k}")) for k in keys])
-    return ordered_median(narrow.join(small, same, "left_anti"), keys, "_v", *names).unionByName(
-        split_median(narrow.join(small, same, "left_semi"), keys, "_v", *names, few_groups=True)
+    return split_median(narrow, keys, "_v", median_name, count_name)
+
+
+def value_bucket(value: str) -> Column:
+    """A whole number that grows with the value, zero at zero and finer than any price band needs; its ends hold what is not finite."""
+    size = F.floor(F.log1p(F.abs(F.col(value))) * F.lit(BUCKETS_PER_LOG))
+    top = 1 << 40
+    return (
+        F.when(F.isnan(value), F.lit(top + 1))
+        .when(F.col(value) == float("inf"), F.lit(top))
+        .when(F.col(value) == float("-inf"), F.lit(-top))
+        .otherwise((F.signum(value) * size).try_cast("long"))
     )
 
 
-def ordered_median(rows: DataFrame, keys: Sequence[str], value: str, median_name: str, count_name: str) -> DataFrame:
-    """Exact median from each group's order.
-
-    The built-in ``median`` keeps a map of all values per group, and many such maps at
-    once; sorted rows spill instead, and are quicker for many small groups.
-    """
-    group = Window.partitionBy(*keys)
-    ranked = rows.select(
-        *keys, value,
-        F.row_number().over(group.orderBy(value)).alias("_rank"),
-        F.count(F.lit(1)).over(group).alias("_total"),
-    )
-    middle = ranked.where(F.expr("_rank BETWEEN (_total + 1) div 2 AND _total div 2 + 1"))
-    return middle.groupBy(*keys).agg(F.avg(value).alias(median_name), F.max(F.col("_total").cast("long")).alias(count_name))
-
-
-def split_median(
-    rows: DataFrame, keys: Sequence[str], value: str, median_name: str, count_name: str, few_groups: bool = False
-) -> DataFrame:
+def split_median(rows: DataFrame, keys: Sequence[str], value: str, median_name: str, count_name: str) -> DataFrame:
     """Exact median by narrowing down: count per value, then per value bucket, then within one bucket.
 
     Equal values collapse before the first shuffle, and values of one group
     spread over all tasks. A running count over the group's buckets, whose number depends
     on the spread of values and not on the rows, finds the one or two that hold the middle ranks; only
-    their values are ordered. ``few_groups`` says that there are at most
-    HOT_SHARE groups, so that one or two rows for each can be broadcast, which saves moving all values again.
+    their values are ordered.
     """
     keys = list(keys)
-    # Monotone in the value, zero at zero, finer than any price band needs.
-    bucket = (
-        F.signum(value) * F.floor(F.log1p(F.abs(F.col(value))) * F.lit(BUCKETS_PER_LOG))
-    ).cast("long")
-    counted = rows.groupBy(*keys, F.col(value).alias("_v"), bucket.alias("_b")).agg(F.count(F.lit(1)).alias("_n"))
+    counted = rows.groupBy(*keys, F.col(value).alias("_v"), value_bucket(value).alias("_b")).agg(F.count(F.lit(1)).alias("_n"))
 
     buckets = counted.groupBy(*keys, "_b").agg(F.sum("_n").alias("_bn"))
     in_group = Window.partitionBy(*keys)
@@ -97,7 +63,7 @@ def split_median(
 
     same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_m_{k}")) for k in keys])
     in_bucket = Window.partitionBy(*keys, "_b").orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)
-    placed = counted.join(F.broadcast(middle) if few_groups else middle, same & (F.col("_b") == F.col("_mb"))).select(
+    placed = counted.join(middle, same & (F.col("_b") == F.col("_mb"))).select(
         *keys, "_v", "_total", "_low", "_high",
         (F.col("_before") + F.sum("_n").over(in_bucket)).alias("_rank"),
     )

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from hanok.functions import dates, text
 from hanok.functions.scoring import ratio
-from hanok.operators.medians import HOT_ROWS, grouped_median
+from hanok.operators.medians import grouped_median
 
 # Upper edges of the area buckets in square metres.
 AREA_EDGES = (60, 85, 135)
@@ -32,12 +32,14 @@ def price_per_area(amount: Column, area: Column, unit: int = AMOUNT_UNIT) -> Col
 def trades_from_raw(raw: DataFrame) -> DataFrame:
     """Typed trades of the raw table: trimmed, cancelled ones removed, equal rows kept once.
 
-    Equal rows collapse before the shuffle, and the shuffle spreads by the whole row.
-    Columns are made in steps, so that no parser runs twice for one cell.
+    Two raw rows are one trade only if they agree in every column but the file they came from; trades that differ in a column
+    that is not kept stay two. A row whose own date is outside its partition's month is not a trade (see ``misdated_rows``),
+    so one mistyped year does not move the marts' windows. Columns are made in steps, so that no parser runs twice for one cell.
     """
     filled = lambda c: text.blank_to_null(F.col(c))
     whole = lambda c: text.lenient_long(F.col(c))
-    cells = raw.where(filled("cdealType").isNull()).select(
+    whole_rows = raw.drop("_file").distinct()
+    cells = whole_rows.where(filled("cdealType").isNull()).select(
         F.coalesce(filled("sggCd"), F.col("lawdCd")).alias("sggcd"),
         filled("estateAgentSggNm").alias("estateagentsggnm"),
         filled("aptSeq").alias("aptseq"),
@@ -55,8 +57,9 @@ def trades_from_raw(raw: DataFrame) -> DataFrame:
         "month",
     )
     dated = cells.withColumn("deal_date", dates.loose_date(F.col("_y"), F.col("_m"), F.col("_d"))).drop("_y", "_m", "_d")
-    # What follows from these columns is added after equal rows are gone.
-    return dated.distinct().withColumns(
+    # A date that cannot be read says nothing against the partition.
+    inside = F.col("deal_date").isNull() | ((F.year("deal_date") == F.col("year")) & (F.month("deal_date") == F.col("month")))
+    return dated.where(F.coalesce(inside, F.lit(True))).withColumns(
         {
             "deal_month_date": dates.month_start(F.col("deal_date")),
             "ppsqm_krw": price_per_area(F.col("deal_amount"), F.col("area")),
@@ -64,6 +67,12 @@ def trades_from_raw(raw: DataFrame) -> DataFrame:
     )
 
 
+def misdated_rows(raw: DataFrame) -> DataFrame:
+    """Raw rows whose year or month is not their partition's: the rows that ``trades_from_raw`` leaves out, to be reported."""
+    same = (text.lenient_long(F.col("dealYear")) == F.col("year")) & (text.lenient_long(F.col("dealMonth")) == F.col("month"))
+    return raw.where(~F.coalesce(same, F.lit(True)))
+
+
 def last_month_of(trades: DataFrame) -> Column:
     """The newest month with a trade, as a scalar."""
     return trades.agg(F.max("deal_month_date")).scalar()
@@ -75,10 +84,10 @@ def within_months(trades: DataFrame, months: int, last: Column | None = None) ->
     return trades.where(F.col("deal_month_date") > F.add_months(end, -months))
 
 
-def region_monthly_stats(trades: DataFrame, months: int = 180, hot_rows: int = HOT_ROWS) -> DataFrame:
+def region_monthly_stats(trades: DataFrame, months: int = 180) -> DataFrame:
     """Median price and number of trades per region and month."""
     return grouped_median(
-        within_months(trades, months), ["sggcd", "deal_month_date"], F.col("ppsqm_krw"), "median_ppsqm_krw", "trades", hot_rows
+        within_months(trades, months), ["sggcd", "deal_month_date"], F.col("ppsqm_krw"), "median_ppsqm_krw", "trades"
     ).select(
         "sggcd", "deal_month_date",
         F.year("deal_month_date").alias("deal_year"), F.month("deal_month_date").alias("deal_month"),
@@ -86,7 +95,7 @@ def region_monthly_stats(trades: DataFrame, months: int = 180, hot_rows: int = H
     )
 
 
-def complex_monthly_median(trades: DataFrame, months: int = 120, hot_rows: int = HOT_ROWS) -> DataFrame:
+def complex_monthly_median(trades: DataFrame, months: int = 120) -> DataFrame:
     """Median price and number of trades per complex and month."""
     return grouped_median(
         within_months(trades, months),
@@ -94,18 +103,17 @@ def complex_monthly_median(trades: DataFrame, months: int = 120, hot_rows: int =
         F.col("ppsqm_krw"),
         "median_ppsqm_krw",
         "trades",
-        hot_rows,
     )
 
 
-def region_last12m(trades: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
+def region_last12m(trades: DataFrame) -> DataFrame:
     """Median price and trades per region over the newest twelve months."""
     return grouped_median(
-        within_months(trades, 12), ["sggcd"], F.col("ppsqm_krw"), "median_ppsqm_krw_12m", "trades_12m", hot_rows
+        within_months(trades, 12), ["sggcd"], F.col("ppsqm_krw"), "median_ppsqm_krw_12m", "trades_12m"
     )
 
 
-def complex_bucket_12m(trades: DataFrame, bucket: Column | None = None, hot_rows: int = HOT_ROWS) -> DataFrame:
+def complex_bucket_12m(trades: DataFrame, bucket: Column | None = None) -> DataFrame:
     """Median price and trades per complex and area bucket over the newest twelve months."""
     bucket = area_bucket(F.col("area")) if bucket is None else bucket
     return grouped_median(
@@ -114,7 +122,6 @@ def complex_bucket_12m(trades: DataFrame, bucket: Column | None = None, hot_rows
         F.col("ppsqm_krw"),
         "median_ppsqm_krw_12m",
         "trades_12m",
-        hot_rows,
     )
 
 

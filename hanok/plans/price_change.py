@@ -25,19 +25,21 @@ def in_period(trades: DataFrame, start: Column, end: Column, day: str = "date")
     return trades.where(F.col(day).between(start, end))
 
 
-def daily_extremes(trades: DataFrame) -> DataFrame:
-    """Lowest and highest price per unit type and day."""
-    return trades.groupBy(*UNIT, "date").agg(F.min("dealPrice").alias("_low"), F.max("dealPrice").alias("_high"))
+def daily_lowest(trades: DataFrame) -> DataFrame:
+    """Lowest price per unit type and day: of trades on one day it stands for the day, at either end of a period."""
+    return trades.groupBy(*UNIT, "date").agg(F.min("dealPrice").alias("_low"))
 
 
 def first_and_last(trades: DataFrame) -> DataFrame:
-    """Start and end price per unit type: the lowest of its first day and the highest of its last.
+    """Start and end price per unit type: the lowest of its first day and the lowest of its last.
+
+    With one rule for both ends a unit type that traded on one day only has not changed.
 
     Days are aggregated first, so dates no longer tie and the second step
     combines before its shuffle too; neither step orders a group.
     """
-    return daily_extremes(trades).groupBy(*UNIT).agg(
-        F.min_by("_low", "date").alias("start_price"), F.max_by("_high", "date").alias("end_price")
+    return daily_lowest(trades).groupBy(*UNIT).agg(
+        F.min_by("_low", "date").alias("start_price"), F.max_by("_low", "date").alias("end_price")
     )
 
 
@@ -154,12 +156,12 @@ def price_change_frames(trades: DataFrame, complexes: DataFrame, start: Column,
     # Trades before the first frame's month count from the first frame on.
     month = F.greatest(F.trunc("date", "month"), first_frame)
     monthly = (
-        daily_extremes(in_period(trades, start, end).where(first_frame.isNotNull()))
+        daily_lowest(in_period(trades, start, end).where(first_frame.isNotNull()))
         .withColumn("frame_month", month)
         .groupBy(*UNIT, "frame_month")
         .agg(
             F.min_by("_low", "date").alias("_first"),
-            F.max_by("_high", "date").alias("_last"),
+            F.max_by("_low", "date").alias("_last"),
         )
     )
     line = Window.partitionBy(*UNIT).orderBy("frame_month")

@@ -55,16 +55,16 @@ def incremental_load(
     return True
 
 
-def build_marts(spark: SparkSession, raw: DataFrame, database: str) -> None:
+def build_marts(spark: SparkSession, raw: DataFrame, database: str, table_format: str = lake.PARQUET) -> None:
     """Write typed trades and every mart as tables; later steps start from those, not from raw."""
     # By month: the marts' month windows then skip whole folders.
-    lake.replace_table(marts.trades_from_raw(raw), f"{database}.trade_features", ["deal_month_date"])
+    lake.replace_table(marts.trades_from_raw(raw), f"{database}.trade_features", ["deal_month_date"], table_format=table_format)
     trades = spark.table(f"{database}.trade_features")
-    lake.replace_table(marts.region_monthly_stats(trades), f"{database}.region_monthly_stats")
-    lake.replace_table(marts.complex_monthly_median(trades), f"{database}.complex_monthly_median", ["deal_month_date"])
-    lake.replace_table(marts.region_last12m(trades), f"{database}.region_last12m")
-    lake.replace_table(marts.complex_bucket_12m(trades), f"{database}.complex_bucket_12m")
-    lake.replace_table(marts.region_names(trades), f"{database}.region_names")
+    lake.replace_table(marts.region_monthly_stats(trades), f"{database}.region_monthly_stats", table_format=table_format)
+    lake.replace_table(marts.complex_monthly_median(trades), f"{database}.complex_monthly_median", ["deal_month_date"], table_format=table_format)
+    lake.replace_table(marts.region_last12m(trades), f"{database}.region_last12m", table_format=table_format)
+    lake.replace_table(marts.complex_bucket_12m(trades), f"{database}.complex_bucket_12m", table_format=table_format)
+    lake.replace_table(marts.region_names(trades), f"{database}.region_names", table_format=table_format)
 
 
 MART_TABLES = ("region_monthly_stats", "complex_monthly_median", "region_last12m", "complex_bucket_12m", "region_names")
@@ -94,13 +94,13 @@ def publish_boards(spark: SparkSession, database: str) -> DatasetCatalog:
     return catalog
 
 
-def write_boards(spark: SparkSession, database: str) -> list[str]:
+def write_boards(spark: SparkSession, database: str, table_format: str = lake.PARQUET) -> list[str]:
     """Write every board as a table. A board that others refer to is read back, not computed again."""
     sources = {name: spark.table(f"{database}.{name}") for name in MART_TABLES}
     written: list[str] = []
     for name in board_catalog(sources).names():
         # Definitions stand in dependency order; what is written becomes a source of the rest.
-        lake.replace_table(board_catalog(sources).get(name), f"{database}.{name}")
+        lake.replace_table(board_catalog(sources).get(name), f"{database}.{name}", table_format=table_format)
         sources[name] = spark.table(f"{database}.{name}")
         written.append(name)
     return written

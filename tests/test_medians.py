@@ -26,32 +26,18 @@ def brute(rows):
     return {g: (statistics.median(v), len(v)) for g, v in groups.items()}
 
 
-@pytest.mark.parametrize("hot_rows", [10_000, 1000, 0])
-def test_all_ways_give_the_exact_median(spark, data, hot_rows):
+def test_exact_median_of_groups_of_every_size(spark, data):
     df = spark.createDataFrame(data, "g STRING, v DOUBLE")
-    got = {r.g: (r.m, r.n) for r in grouped_median(df, ["g"], F.col("v"), "m", "n", hot_rows).collect()}
+    got = {r.g: (r.m, r.n) for r in grouped_median(df, ["g"], F.col("v"), "m", "n").collect()}
     assert got == brute(data)
 
 
-def test_only_groups_with_a_share_are_hot(spark, data, monkeypatch):
-    """With one group in two at most, all but the largest are ordinary, however low the row limit."""
-    taken = []
-
-    def watch(rows, *args, **kwargs):
-        taken.extend(r.g for r in rows.select("g").distinct().collect())
-        return split_median(rows, *args, **kwargs)
-
-    monkeypatch.setattr("hanok.operators.medians.HOT_SHARE", 2)
-    monkeypatch.setattr("hanok.operators.medians.split_median", watch)
-    df = spark.createDataFrame(data, "g STRING, v DOUBLE")
-    got = {(r.g): (r.m, r.n) for r in grouped_median(df, ["g"], F.col("v"), "m", "n", 10).collect()}
-    assert taken == ["hot"] and got == brute(data)
-
-
-def test_without_hot_groups_nothing_is_split(spark, data, monkeypatch):
-    monkeypatch.setattr("hanok.operators.medians.split_median", None)
-    df = spark.createDataFrame(data, "g STRING, v DOUBLE")
-    assert grouped_median(df, ["g"], F.col("v"), "m", "n", 5000).count() == len(brute(data))
+def test_values_that_are_not_finite_are_ordered_like_a_sort_does(spark):
+    nan, inf = float("nan"), float("inf")
+    rows = [("a", v) for v in (1.0, nan, inf, -inf, 2.0)] + [("b", nan)] + [("c", v) for v in (inf, 3.0)] + [(None, -inf)] + [("d", 7.0)] * 500
+    df = spark.createDataFrame(rows, "g STRING, v DOUBLE")
+    got = {r.g: (str(r.m), r.n) for r in grouped_median(df, ["g"], F.col("v"), "m", "n").collect()}
+    assert got == {"a": ("2.0", 5), "b": ("nan", 1), "c": ("inf", 2), None: ("-inf", 1), "d": ("7.0", 500)}
 
 
 def test_split_way_with_two_keys(spark):

@@ -199,7 +199,7 @@ def test_a_single_unit_grades_lowest(spark):
     trades, complexes = trade_rows(spark)
     day = F.lit("2024-03-31").cast("date")
     got = pc.price_changes(trades, complexes, day, day).select("start_price", "end_price", "z_score", "performance_grade").collect()
-    assert [tuple(r) for r in got] == [(10.0, 30.0, None, "very_poor")]
+    assert [tuple(r) for r in got] == [(10.0, 10.0, None, "very_poor")]
 
 
 def test_empty_period(spark):
@@ -207,3 +207,43 @@ def test_empty_period(spark):
     day = F.lit("1999-01-01").cast("date")
     changes = pc.price_changes(trades, complexes, day, day)
     assert changes.isEmpty() and pc.map_layer(changes).isEmpty() and pc.kpi(changes).first().units == 0
+
+
+def test_unit_traded_on_one_day_has_not_changed(spark):
+    from hanok.plans import price_change as pc
+
+    day, later = "2024-03-01", "2024-04-01"
+    rows = [(1, 1, day, 100.0), (1, 1, day, 150.0), (2, 1, day, 100.0), (2, 1, later, 130.0), (2, 1, later, 120.0)]
+    df = spark.createDataFrame(rows, "complexNo LONG, areaNo LONG, date STRING, dealPrice DOUBLE").withColumn("date", F.to_date("date"))
+    got = {r.complexNo: (r.start_price, r.end_price) for r in pc.first_and_last(df).collect()}
+    assert got == {1: (100.0, 100.0), 2: (100.0, 120.0)}
+
+
+def test_table_references_leave_out_comments_and_texts(spark):
+    from hanok.functions import text
+
+    sql = "SELECT ' from l.m.n' AS t -- from x.y.z\nFROM a.\"b-c\".d JOIN `e`.f.g /* join h.i.j */ ON 1 = 1 JOIN k.l ON 1 = 1"
+    row = spark.createDataFrame([(sql,)], "s STRING").select(text.table_references(F.col("s")).alias("r")).first()
+    assert row.r == ["a.b-c.d", "e.f.g"]
+
+
+def test_only_finite_numbers_are_numbers(spark):
+    from hanok.functions import text
+
+    given = ["nan", "Infinity", "-inf", "1e999", "84.97", " 1,200.5 ", "-3", "84d", "", None, "."]
+    df = spark.createDataFrame([(v,) for v in given], "v STRING").select(text.lenient_double(F.col("v")).alias("n"))
+    assert [r.n for r in df.collect()] == [None, None, None, None, 84.97, 1200.5, -3.0, None, None, None, None]
+
+
+def test_trades_differing_in_any_column_stay_and_mistyped_years_are_reported(spark):
+    from hanok.plans import marts
+    from hanok.schema import RAW_SCHEMA
+
+    def row(**cells):
+        base = {"lawdCd": "11110", "year": 2024, "month": 3, "dealYear": "2024", "dealMonth": "3", "dealDay": "5", "dealAmount": "1", "excluUseAr": "1"}
+        return {f.name: (base | cells).get(f.name) for f in RAW_SCHEMA.fields}
+
+    given = [row(buyerGbn="a"), row(buyerGbn="b"), row(buyerGbn="a"), row(dealYear="2204")]
+    raw = spark.createDataFrame([tuple(r.values()) for r in given], RAW_SCHEMA)
+    assert marts.trades_from_raw(raw).count() == 2
+    assert [r.dealYear for r in marts.misdated_rows(raw).collect()] == ["2204"]
