@@ -162,7 +162,8 @@ class Encoder:
         self.model, self.piece, self.limit = model, piece, max(piece, 16)
         pattern = model.pattern.replace(r"\s", r"\p{White_Space}")
         self.split = regex.compile(pattern, regex.V0)
-        self.space = regex.compile(r"\p{White_Space}", regex.REVERSE)
+        self.last_space = regex.compile(r"\p{White_Space}", regex.REVERSE)
+        self.space = regex.compile(r"\p{White_Space}+")
         self.odd = re.compile("[\x1c-\x1f]")  # white space for str.split alone
         self.runs = [regex.compile(r"\p{L}*"), regex.compile(r"[^\p{White_Space}\p{L}\p{N}]*")]
         self.special = regex.compile("|".join(map(regex.escape, sorted(model.special, key=len, reverse=True))) or r"(?!)")
@@ -213,7 +214,7 @@ class Encoder:
             ids += self._ids(transducer.finish())
             self.long = None
         if not last:
-            space = self.space.search(text)
+            space = self.last_space.search(text)
             cut = space.end() if space else 0
             self.open, text = text[cut:], text[:cut]
         known = self.young.get
