@@ -103,7 +103,7 @@ def stated(files: DataFrame) -> DataFrame:
 
 def directory(path: Column) -> Column:
     """What stands before the last ``/``; empty for a file at the top."""
-    return F.when(F.contains(path, F.lit("/")), F.regexp_replace(path, "/[^/]*$", "")).otherwise("")
+    return F.when(F.contains(path, F.lit("/")), F.regexp_replace(path, "/[^/]*$", "")).when(path.isNotNull(), "")
 
 
 def licences(files: DataFrame, licence_names: str = r"(?i)(^|/)(licen[sc]e|copying)[^/]*$") -> DataFrame:
