@@ -35,7 +35,8 @@ _CLASS[list(ALPHABET.encode())] = np.arange(1, STATES)
 
 # A random token is this many times likelier under the random model for each 16 characters, at least.
 MIN_RATIO = 1e4
-SMOOTHING = 0.5
+BACKOFF = 34  # pairs that each character counts as seen by chance
+DISCOUNT = 3  # an ordinary pair counts as seen so much less, as unknown random strings are among the ordinary ones
 
 
 def base_spans(text: str) -> tuple[list[tuple[int, int, int]], list[tuple[int, int]]]:
@@ -104,7 +105,10 @@ def train(docs: DataFrame, text: str = "text") -> np.ndarray:
     counts = np.zeros((2, STATES, STATES))
     for label, pair, n in docs.select(text).mapInArrow(run, "label long, pair long, n long").groupBy("label", "pair").agg(F.sum("n")).collect():
         counts[label, pair // STATES, pair % STATES] = n
-    chance = counts + SMOOTHING
+    counts[0] = np.maximum(counts[0] - DISCOUNT, 0)
+    # Behind a character seen little, a random string has any character, an identifier one that identifiers often have.
+    often = counts[0].sum(axis=0) + 1
+    chance = counts + BACKOFF * np.stack([np.broadcast_to(often / often.sum(), (STATES, STATES)), np.full((STATES, STATES), 1 / STATES)])
     chance /= chance.sum(axis=2, keepdims=True)
     return np.log(chance[1]) - np.log(chance[0])
 
