@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from hanok.functions.text import try_cast_to
 from hanok.schema import MANIFEST_SCHEMA, STATE_SCHEMA
-from hanok.sources.bronze import existing
+from hanok.sources.bronze import existing, read_pages
 
 
 def read_parquet(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
@@ -16,32 +16,29 @@ def read_parquet(spark: SparkSession, path: str, schema: T.StructType | None = N
 
 
 def read_typed_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """CSV read as text, then cast by name; failed casts become NULL."""
-    return try_cast_to(spark.read.option("header", True).csv(path), schema)
+    """CSV read as text, each file by its own header, then cast by name; failed casts become NULL."""
+    return try_cast_to(read_pages(spark, path, columns=None), schema)
 
 
 def read_keyed_csv(spark: SparkSession, glob: str, pattern: str, key: str) -> DataFrame:
-    """Per-entity CSV files as text, with the key taken from each file name."""
-    rows = spark.read.option("header", True).csv(glob)
-    name = F.col("_metadata.file_name")
-    return rows.withColumn(key, F.regexp_extract(name, pattern, 1).try_cast("bigint"))
+    """Per-entity CSV files as text, each by its own header, with the key taken from each file name."""
+    rows = read_pages(spark, glob, columns=None)
+    name = F.regexp_extract("_file", "[^/]*$", 0)
+    return rows.withColumn(key, F.regexp_extract(name, pattern, 1).try_cast("bigint")).drop("_file")
 
 
 def read_csv_tree(spark: SparkSession, prefix: str, legacy_file: str | None = None) -> DataFrame:
-    """All CSV files below a folder as text; the single legacy file where there are none."""
+    """All CSV files below a folder, at any depth, as text and each by its own header; the legacy file where there are none."""
     if prefix.lower().endswith(".csv"):
-        return spark.read.option("header", True).csv(prefix)
+        return read_pages(spark, prefix, columns=None).drop("_file")
     root = prefix.rstrip("/")
-    if existing(spark, [f"{root}/*.csv", f"{root}/*/*.csv", f"{root}/*/*/*.csv", f"{root}/*/*/*/*.csv", f"{root}/*/*/*/*/*.csv"]):
-        return (
-            spark.read.option("header", True)
-            .option("recursiveFileLookup", True)
-            .option("pathGlobFilter", "*.csv")
-            .csv(root)
-        )
+    if existing(spark, [root]):
+        listed = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "*.csv").load(root)
+        if not listed.select("path").isEmpty():
+            return read_pages(spark, root, columns=None, recursive=True).drop("_file")
     if legacy_file is None:
         raise ValueError(f"no CSV file below {prefix}")
-    return spark.read.option("header", True).csv(legacy_file)
+    return read_pages(spark, legacy_file, columns=None).drop("_file")
 
 
 def complex_numbers(spark: SparkSession, path: str) -> DataFrame:

@@ -36,18 +36,23 @@ def reflect_new_pages(
     """
     root = bronze_path.rstrip("/")
     arrivals = (
-        spark.readStream.schema("value STRING")
-        .format("text")
+        # Of this format's columns only the path is asked for, so no file is opened.
+        spark.readStream.schema("path STRING, modificationTime TIMESTAMP, length LONG, content BINARY")
+        .format("binaryFile")
         .option("pathGlobFilter", "page=*.csv")
         .option("recursiveFileLookup", True)
         .option("maxFilesPerTrigger", max_files_per_batch)
         .load(root)
-        .select(F.col("_metadata.file_path").alias("_file"))
+        .select(F.col("path").alias("_file"))
     )
 
     def reflect(batch: DataFrame, _: int) -> None:
-        entries = touched_partitions(batch)
-        load_partitions(batch.sparkSession, root, entries, table, location, table_format)
+        # Headers and rows are both joined to the entries, a short list.
+        entries = touched_partitions(batch).persist()
+        try:
+            load_partitions(batch.sparkSession, root, entries, table, location, table_format)
+        finally:
+            entries.unpersist()
 
     # A folder of its own per landing zone and table, where every executor can reach it.
     place = checkpoint or f"{shared_checkpoint_dir(spark)}/reflect/{table}"

@@ -82,17 +82,19 @@ def test_only_listed_partitions_are_read_and_missing_ones_skipped(spark, landing
     assert got.schema.names == RAW_SCHEMA.names and got.isEmpty()
 
 
-def test_a_long_list_is_joined_instead(spark, landing, monkeypatch):
-    monkeypatch.setattr(bronze, "MAX_LISTED_PATHS", 1)
-    entries = spark.createDataFrame([("01110", "202402"), ("99999", "202401")], "lawd_cd STRING, deal_ym STRING")
-    got = bronze.scan_partitions(spark, str(landing), entries)
-    assert got.columns == RAW_SCHEMA.names and {r.lawdCd for r in got.collect()} == {"01110"}
-
-
-def test_too_many_headers_fail(spark, landing, monkeypatch):
-    monkeypatch.setattr(bronze, "MAX_HEADERS", 2)
-    with pytest.raises(ValueError, match="headers"):
-        bronze.scan_all(spark, str(landing))
+def test_a_list_of_any_length_gives_the_same_rows(spark, landing):
+    page(landing, "1234", "202402", 1, "aptNm\nodd\n")
+    short = spark.createDataFrame([("01110", "202402"), ("99999", "202401"), ("1234", "202402")], "lawd_cd STRING, deal_ym STRING")
+    many = short.union(spark.range(50_000).selectExpr("lpad(cast(id + 100000 AS string), 6, '0')", "'202402'"))
+    got = [rows(bronze.scan_partitions(spark, str(landing), e).select("aptNm", "lawdCd", "deal_ym")) for e in (short, many)]
+    assert got[0] == got[1] == [("D", "01110", "202402"), ("E", "01110", "202402"), ("odd", None, "202402")]
+
+
+def test_any_number_of_headers(spark, tmp_path):
+    for i in range(230):
+        page(tmp_path, "11110", "202401", i + 1, f"x{i},aptNm\n{i},N{i}\n")
+    got = bronze.read_pages(spark, f"{tmp_path}/{bronze.PAGE_GLOB}", ["aptNm", "x7"])
+    assert got.count() == 230 and got.where("x7 IS NOT NULL").select("aptNm", "x7").collect() == [("N7", "7")]
 
 
 def test_landed_pages_come_from_the_listing(spark, landing):

@@ -198,3 +198,16 @@ def test_null_codes_do_not_turn_into_text(spark):
     df = spark.createDataFrame([(None,), ("11110",)], "LAWD_CD STRING")
     assert quality.code_list(df).count() == 1
     assert df.select(F.count("LAWD_CD")).first()[0] == 1
+
+
+def test_csv_files_are_read_by_their_own_header(spark, tmp_path):
+    deep = tmp_path / "t" / "a" / "b" / "c" / "d" / "e" / "f" / "g" / "h"
+    deep.mkdir(parents=True)
+    (tmp_path / "t" / "trades_12.csv").write_text('p,q\n1,"x, y"\n')
+    (tmp_path / "t" / "trades_34.csv").write_text("q,p,r\nz,2,3\n")
+    (deep / "trades_56.csv").write_text("r\n9\n")
+    tree = files.read_csv_tree(spark, f"{tmp_path}/t")
+    assert tree.columns == ["p", "q", "r"]
+    assert rows(tree) == rows(spark.createDataFrame([("1", "x, y", None), ("2", "z", "3"), (None, None, "9")], "p STRING, q STRING, r STRING"))
+    keyed = files.read_keyed_csv(spark, f"{tmp_path}/t/*.csv", r"trades_(\d+)", "complexNo").select("complexNo", "p", "q")
+    assert rows(keyed) == [(12, "1", "x, y"), (34, "2", "z")]
