@@ -41,15 +41,18 @@ def _row_hash(columns: Sequence[str], seed: int) -> Column:
     return F.expr(f"cast(xxhash64({seed}, {cells}, {places}) AS decimal(20, 0))")
 
 
-def content_fingerprint(columns: Sequence[str]) -> Column:
-    """Aggregate fingerprint of a group of rows, whatever their order: 32 hex digits.
+def content_fingerprint(columns: Sequence[str], position: str | None = None) -> Column:
+    """Aggregate fingerprint of a group of rows: 32 hex digits.
+
+    With ``position``, the column that numbers a page's rows, each row is hashed with its place, so a reordered page is another
+    one; without it the order of rows does not matter.
 
     Two 64-bit hashes of every row are summed, so a page is compared
     without ever gathering its rows in one place: the sums combine before the
-    shuffle, and a huge page costs one small buffer. Reordered rows count as
-    unchanged; a repeated row does not cancel out. Both sides of a comparison need the
+    shuffle, and a huge page costs one small buffer. A repeated row does not cancel out. Both sides of a comparison need the
     same column types.
     """
+    columns = [*columns, position] if position else columns
     if len(columns) > 62:
         raise ValueError("at most 62 columns")
     sums = [F.coalesce(F.sum(_row_hash(columns, seed)).cast("string"), F.lit("0")) for seed in (17, 71)]

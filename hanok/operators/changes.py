@@ -13,10 +13,12 @@ PARTITION_KEYS = ("lawd_cd", "deal_ym")
 ACTIONS = ("created", "updated", "unchanged", "skipped_empty")
 
 
-def page_fingerprints(rows: DataFrame, content: Sequence[str], keys: Sequence[str] = PAGE_KEYS) -> DataFrame:
-    """One row per page: fingerprint and row count. Content never leaves the map side."""
+def page_fingerprints(
+    rows: DataFrame, content: Sequence[str], keys: Sequence[str] = PAGE_KEYS, position: str | None = None
+) -> DataFrame:
+    """One row per page: fingerprint and row count. Content never leaves the map side. ``position`` numbers a page's rows."""
     return rows.groupBy(*keys).agg(
-        content_fingerprint(content).alias("fingerprint"), F.count(F.lit(1)).alias("row_count")
+        content_fingerprint(content, position).alias("fingerprint"), F.count(F.lit(1)).alias("row_count")
     )
 
 
@@ -95,9 +97,17 @@ def manifest_by_region(completed: DataFrame) -> DataFrame:
     )
 
 
-def run_manifest(completed: DataFrame) -> DataFrame:
-    """One run's manifest. A run completes at most as many partitions as its request quota."""
-    return completed.agg(F.array_sort(F.collect_list(F.struct("lawd_cd", "deal_ym"))).alias("completed_partitions"))
+def run_manifest(completed: DataFrame, run: DataFrame | None = None) -> DataFrame:
+    """One run's manifest. A run completes at most as many partitions as its request quota.
+
+    ``run`` is the run's one row with the other fields: ts, started_at, cycles_completed, cursor, percent, quota_used, quota_limit.
+    """
+    done = completed.agg(F.array_sort(F.collect_list(F.struct("lawd_cd", "deal_ym"))).alias("completed_partitions"))
+    if run is None:
+        return done
+    fields = ("ts", "started_at", "cycles_completed", "cursor", "percent", "quota_used", "quota_limit")
+    entries = done.scalar()
+    return run.select(*fields, entries.alias("completed_partitions"))
 
 
 def completeness(pages: DataFrame, status: DataFrame) -> DataFrame:

@@ -247,3 +247,13 @@ def test_trades_differing_in_any_column_stay_and_mistyped_years_are_reported(spa
     raw = spark.createDataFrame([tuple(r.values()) for r in given], RAW_SCHEMA)
     assert marts.trades_from_raw(raw).count() == 2
     assert [r.dealYear for r in marts.misdated_rows(raw).collect()] == ["2204"]
+
+
+def test_a_reordered_page_is_updated(spark):
+    columns = "lawd_cd STRING, deal_ym STRING, page_no INT, row_no INT, name STRING"
+    old = spark.createDataFrame([("1", "202401", 1, 0, "a"), ("1", "202401", 1, 1, "b"), ("1", "202401", 2, 0, "c")], columns)
+    new = spark.createDataFrame([("1", "202401", 1, 0, "b"), ("1", "202401", 1, 1, "a"), ("1", "202401", 2, 0, "c")], columns)
+    prints = [ch.page_fingerprints(d, ["name"], position="row_no") for d in (old, new)]
+    assert rows(ch.page_changes(*prints).select("page_no", "action")) == [(1, "updated"), (2, "unchanged")]
+    loose = [ch.page_fingerprints(d, ["name"]) for d in (old, new)]
+    assert rows(ch.page_changes(*loose).select("page_no", "action")) == [(1, "unchanged"), (2, "unchanged")]
