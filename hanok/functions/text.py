@@ -106,5 +106,6 @@ def dataset_root(path: Column) -> Column:
 
 def plain_etag(c: Column) -> Column:
     """The MD5 in an object tag; NULL for multipart tags and other lengths."""
+    # A plain tag has 32 digits, a multipart one a hyphen.
     bare = F.regexp_replace(F.trim(c), r'^"+|"+$', "")
     return F.when((F.length(bare) == 32) & ~bare.contains("-"), bare)

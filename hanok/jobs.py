@@ -4,7 +4,8 @@ from __future__ import annotations
 
 import argparse
 
-from hanok.plans import refresh
+from hanok.plans import landing, refresh
+from hanok.schema import RESPONSE_SCHEMA
 from hanok.session import build_session
 from hanok.sinks import lake
 from hanok.streaming.reflect import reflect_new_pages
@@ -37,6 +38,10 @@ def _parser() -> argparse.ArgumentParser:
     p = job("build-marts", "build typed trades and marts from the raw table", "database")
     p.add_argument("--table", default=refresh.RAW_TABLE)
     job("write-boards", "write the boards over the marts", "database")
+    job("write-price-changes", "write the price change datasets of a period", "database", "start", "end")
+    p = job("land-answers", "land fetched answers as pages", "answers")
+    p.add_argument("--table", default=landing.PAGE_TABLE)
+    p.add_argument("--markers", default=landing.MARKER_TABLE)
     return parser
 
 
@@ -58,6 +63,11 @@ def main(argv: list[str] | None = None) -> int:
         refresh.build_marts(spark, spark.table(args.table), args.database, args.format)
     elif args.job == "write-boards":
         print("\n".join(refresh.write_boards(spark, args.database, args.format)))
+    elif args.job == "write-price-changes":
+        print("\n".join(refresh.write_price_changes(spark, args.database, args.start, args.end, args.format)))
+    elif args.job == "land-answers":
+        answers = spark.read.schema(RESPONSE_SCHEMA).parquet(args.answers)
+        landing.land_answers(spark, answers, args.table, args.markers, table_format=args.format).groupBy("action").count().show()
     return 0
 
 

@@ -24,7 +24,7 @@ def with_region_name(df: DataFrame, names: DataFrame, key: str = "sggcd") -> Dat
 
 
 def only_listed(df: DataFrame, listed: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Rows whose keys are listed; on partition columns this prunes the scan at run time."""
+    """Rows whose keys are listed. Only where the keys are partition columns of ``df`` are files left out before they are opened."""
     return df.join(listed.select(*keys).distinct(), list(keys), "left_semi")
 
 

@@ -9,6 +9,7 @@ from hanok.operators.joins import latest_only, with_region_name
 from hanok.operators.medians import approximate_median
 from hanok.operators.timeseries import price_features
 
+# The board's columns in order.
 BOARD_COLUMNS = (
     "deal_month_date", "deal_year", "deal_month", "sggcd", "region_ko", "median_ppsqm_krw", "trades",
     "mom_pct", "yoy_pct", "ma24", "std24", "trades_ma12", "mom3_avg", "mom_vol_12m",

@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from hanok.operators.quality import partition_entries
-from hanok.plans import boards, marts
+from hanok.plans import boards, marts, price_change
 from hanok.plans.catalog import DatasetCatalog
 from hanok.schema import RAW_PARTITION_COLUMNS, RAW_SCHEMA
 from hanok.sinks import lake
@@ -87,6 +87,21 @@ def board_catalog(sources: dict[str, DataFrame]) -> DatasetCatalog:
     return catalog
 
 
+def price_change_catalog(sources: dict[str, DataFrame], start: str, end: str) -> DatasetCatalog:
+    """The price change datasets of a period over typed trade history and the complexes."""
+    first, last = F.to_date(F.lit(start)), F.to_date(F.lit(end))
+    both = ("trade_history", "complexes")
+    catalog = DatasetCatalog(sources)
+    catalog.define("price_change", both, lambda trades, complexes: price_change.price_changes(trades, complexes, first, last))
+    catalog.define("price_change_map", ("price_change",), price_change.map_layer)
+    catalog.define("price_change_kpi", ("price_change",), price_change.kpi)
+    catalog.define("price_change_extremes", ("price_change",), price_change.top_bottom)
+    catalog.define("price_change_frames", both, lambda trades, complexes: price_change.price_change_frames(trades, complexes, first, last))
+    catalog.define("price_change_frame_layers", ("price_change_frames",), price_change.frame_layers)
+    catalog.define("avg_price_by_date", ("trade_history",), price_change.avg_price_by_date)
+    return catalog
+
+
 def publish_boards(spark: SparkSession, database: str) -> DatasetCatalog:
     """Views of all boards over the written marts."""
     catalog = board_catalog({name: spark.table(f"{database}.{name}") for name in MART_TABLES})
@@ -96,11 +111,22 @@ def publish_boards(spark: SparkSession, database: str) -> DatasetCatalog:
 
 def write_boards(spark: SparkSession, database: str, table_format: str = lake.PARQUET) -> list[str]:
     """Write every board as a table. A board that others refer to is read back, not computed again."""
-    sources = {name: spark.table(f"{database}.{name}") for name in MART_TABLES}
+    return _write_all(spark, database, MART_TABLES, board_catalog, table_format)
+
+
+def write_price_changes(spark: SparkSession, database: str, start: str, end: str, table_format: str = lake.PARQUET) -> list[str]:
+    """Write the price change datasets of a period from the tables ``trade_history`` and ``complexes``."""
+    return _write_all(spark, database, ("trade_history", "complexes"), lambda s: price_change_catalog(s, start, end), table_format)
+
+
+def _write_all(
+    spark: SparkSession, database: str, inputs: Sequence[str], catalog: Callable[[dict[str, DataFrame]], DatasetCatalog], table_format: str
+) -> list[str]:
+    sources = {name: spark.table(f"{database}.{name}") for name in inputs}
     written: list[str] = []
-    for name in board_catalog(sources).names():
+    for name in catalog(sources).names():
         # Definitions stand in dependency order; what is written becomes a source of the rest.
-        lake.replace_table(board_catalog(sources).get(name), f"{database}.{name}", table_format=table_format)
+        lake.replace_table(catalog(sources).get(name), f"{database}.{name}", table_format=table_format)
         sources[name] = spark.table(f"{database}.{name}")
         written.append(name)
     return written

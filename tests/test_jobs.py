@@ -22,3 +22,27 @@ def test_load_build_and_write(spark, tmp_path, capsys):
     assert not spark.catalog.tableExists("job_raw")
     lake.drop_table(spark, "job_raw")
     spark.sql("DROP DATABASE job_db CASCADE")
+
+
+def test_price_changes_and_landing(spark, tmp_path, capsys):
+    from datetime import datetime
+
+    from test_sources import item, xml
+
+    lake.create_database(spark, "price_db")
+    trades = [(1, 1, "2024-01-05", 100.0), (1, 1, "2024-03-05", 150.0), (2, 1, "2024-02-01", 80.0), (2, 1, "2024-02-01", 90.0)]
+    df = spark.createDataFrame(trades, "complexNo LONG, areaNo LONG, date STRING, dealPrice DOUBLE").selectExpr("complexNo", "areaNo", "to_date(date) AS date", "dealPrice")
+    lake.replace_table(df, "price_db.trade_history")
+    places = [(1, "one", 37.0, 127.0), (2, "two", 37.1, 127.1)]
+    lake.replace_table(spark.createDataFrame(places, "complexNo LONG, complexName STRING, latitude DOUBLE, longitude DOUBLE"), "price_db.complexes")
+    jobs.main(["write-price-changes", "--database", "price_db", "--start", "2024-01-01", "--end", "2024-03-31"])
+    assert "price_change_frame_layers" in capsys.readouterr().out
+    got = {r.complexNo: r.price_change_rate for r in spark.table("price_db.price_change").collect()}
+    assert got == {1: 50.0, 2: 0.0}
+    spark.sql("DROP DATABASE price_db CASCADE")
+    answers = [("01110", "202401", 1, datetime(2024, 5, 1), xml(item(aptNm="A"), 1, page_no=1))]
+    spark.createDataFrame(answers, "region STRING, deal_ym STRING, page_no INT, fetched_at TIMESTAMP, body STRING").write.parquet(f"{tmp_path}/answers")
+    jobs.main(["land-answers", "--answers", f"{tmp_path}/answers", "--table", "job_pages", "--markers", "job_markers"])
+    assert "created" in capsys.readouterr().out and spark.table("job_pages").count() == 1
+    for name in ("job_pages", "job_markers", "job_pages_actions"):
+        lake.drop_table(spark, name)
