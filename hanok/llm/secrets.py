@@ -1,8 +1,9 @@
-"""Secrets: fixed patterns, and random strings told from identifiers by two character Markov models.
+"""Secrets: fixed patterns, and random strings told from identifiers by character Markov models.
 
-One model is fitted to random strings, the other to ordinary identifiers; a token is random where the logarithm of the ratio of
-its likelihoods is high. The labels come from the text itself: what the fixed patterns find is random, every other token of the
-same length is ordinary. Both models count pairs of characters over all documents.
+A token is random where a model of random strings is so much likelier than the model of ordinary text. What is ordinary is learned
+from the words too short to be tokens, then, in rounds, from the tokens that the models so far take for ordinary; random are strings of
+equally likely characters, or such as the fixed patterns find. Every distinct token counts once, however often it is copied, and
+smoothing goes by shares of what was counted, so that neither copies nor the size of the table move the bounds.
 """
 
 from __future__ import annotations
@@ -14,7 +15,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from hanok.llm.shared import as_texts, map_batches, replace_column
+from hanok.llm.shared import as_texts, map_batches, replace_column, written
 
 KINDS = ("assign", "access", "hex", "random")  # the order in which spans with the same start are listed
 MIN_ASSIGN, MIN_ACCESS, MIN_HEX = 12, 18, 16
@@ -33,10 +34,13 @@ STATES = len(ALPHABET) + 1
 _CLASS = np.zeros(256, np.int64)
 _CLASS[list(ALPHABET.encode())] = np.arange(1, STATES)
 
-# A random token is this many times likelier under the random model for each 16 characters, at least.
+# A random token is this many times likelier under a random model for each 16 characters, at least.
 MIN_RATIO = 1e4
 BACKOFF = 34  # pairs that each character counts as seen by chance
-DISCOUNT = 3  # an ordinary pair counts as seen so much less, as unknown random strings are among the ordinary ones
+SHARE = 0.1  # of an average character's pairs, which each character counts as seen by chance
+EVEN = 0.2  # of those, the share that all characters have alike in ordinary text
+ROUNDS = 3  # of learning ordinary tokens
+_CHUNK = 1 << 20  # bytes of a text whose pairs are counted at a time
 
 
 def base_spans(text: str) -> tuple[list[tuple[int, int, int]], list[tuple[int, int]]]:
@@ -80,41 +84,97 @@ def _random_part(text: str, span: tuple[int, int, int]) -> str:
     return m[2].replace(".", "")
 
 
-def train(docs: DataFrame, text: str = "text") -> np.ndarray:
-    """The log ratios of the two models by pair of characters.
+def _word_pairs(text: bytes, tokens: list[str]) -> np.ndarray:
+    """How often each pair of characters stands in ``text`` outside of ``tokens``, its long tokens."""
+    counts = np.zeros(STATES * STATES, np.int64)
+    for i in range(0, len(text) - 1, _CHUNK):
+        c = _CLASS[np.frombuffer(text[i : i + _CHUNK + 1], np.uint8)]
+        counts += np.bincount(c[:-1] * STATES + c[1:], minlength=STATES * STATES)
+    for t in tokens:
+        counts -= np.bincount(_pairs(t)[1:-1], minlength=STATES * STATES)
+    return counts
 
-    Pairs are summed in each task and then over the tasks; at most 2 x 68 x 68 sums reach the driver.
-    Without any random sample, the random model holds all characters equally likely.
-    """
+
+def samples(docs: DataFrame, text: str = "text") -> DataFrame:
+    """(label, token, pair, n): each distinct unmatched token (0) and random string of a pattern (1) once, and sums of words' pairs (2)."""
 
     def run(batches):
-        counts = np.zeros((2, STATES * STATES), np.int64)
+        words = np.zeros(STATES * STATES, np.int64)
         for batch in batches:
+            found = set()
             for x in as_texts(batch.column(0)):
                 spans, tokens = base_spans(x)
-                if not tokens and not spans:
-                    continue
-                random = [_random_part(x, s) for s in spans]
-                plain = [x[a:b] for a, b in _free(tokens, spans)]
-                for label, sample in ((0, plain), (1, random)):
-                    if sample:
-                        counts[label] += np.bincount(np.concatenate([_pairs(t) for t in sample]), minlength=STATES * STATES)
-        label, pair = np.nonzero(counts)
-        yield pa.RecordBatch.from_arrays([pa.array(label), pa.array(pair), pa.array(counts[label, pair])], names=["label", "pair", "n"])
-
-    counts = np.zeros((2, STATES, STATES))
-    for label, pair, n in docs.select(text).mapInArrow(run, "label long, pair long, n long").groupBy("label", "pair").agg(F.sum("n")).collect():
-        counts[label, pair // STATES, pair % STATES] = n
-    counts[0] = np.maximum(counts[0] - DISCOUNT, 0)
-    # Behind a character seen little, a random string has any character, an identifier one that identifiers often have.
-    often = counts[0].sum(axis=0) + 1
-    chance = counts + BACKOFF * np.stack([np.broadcast_to(often / often.sum(), (STATES, STATES)), np.full((STATES, STATES), 1 / STATES)])
-    chance /= chance.sum(axis=2, keepdims=True)
-    return np.log(chance[1]) - np.log(chance[0])
+                words += _word_pairs(x.encode(), [x[a:b] for a, b in tokens])
+                found.update((1, _random_part(x, s)) for s in spans)
+                found.update((0, x[a:b]) for a, b in _free(tokens, spans))
+            label, token = zip(*found) if found else ((), ())
+            none = pa.nulls(len(found), pa.int64())
+            yield pa.RecordBatch.from_arrays([pa.array(label, pa.int64()), pa.array(token, pa.string()), none, none], names=["label", "token", "pair", "n"])
+        (pair,) = np.nonzero(words)
+        label = pa.array(np.full(len(pair), 2))
+        yield pa.RecordBatch.from_arrays([label, pa.nulls(len(pair), pa.string()), pa.array(pair), pa.array(words[pair])], names=["label", "token", "pair", "n"])
+
+    found = docs.select(text).mapInArrow(run, "label long, token string, pair long, n long")
+    return found.groupBy("label", "token", "pair").agg(F.sum("n").alias("n"))
+
+
+def _log_ratios(words: np.ndarray, plain: np.ndarray, random: np.ndarray) -> np.ndarray:
+    even = 1 / STATES
+    # Words and ordinary tokens weigh the same, whatever their numbers; few tokens weigh less.
+    ordinary = words / max(words.sum(), 1) + plain / (plain.sum() + BACKOFF * STATES)
+    # Behind a character seen little, an identifier has one that identifiers often have, a random string any.
+    often = SHARE * (EVEN * even + (1 - EVEN) * ordinary.sum(axis=0) / ordinary.sum()) if ordinary.any() else SHARE * even
+    ordinary = ordinary + often * max(ordinary.sum(), even) / STATES
+    ordinary = np.log(ordinary / ordinary.sum(axis=1, keepdims=True))
+    random = random + (BACKOFF + SHARE * random.sum() / STATES) * even
+    return np.stack([np.log(even) - ordinary, np.log(random / random.sum(axis=1, keepdims=True)) - ordinary])
+
+
+def _token_pairs(tokens: DataFrame, label: int, ratios: np.ndarray | None = None) -> np.ndarray:
+    """Pairs summed over the tokens with the label, without those that are random by ``ratios``; at most 68 x 68 sums reach the driver."""
+
+    def run(batches):
+        counts = np.zeros(STATES * STATES, np.int64)
+        for batch in batches:
+            for t in batch.column(0).to_pylist():
+                if ratios is None or not is_random(t, ratios):
+                    counts += np.bincount(_pairs(t), minlength=STATES * STATES)
+        (pair,) = np.nonzero(counts)
+        yield pa.RecordBatch.from_arrays([pa.array(pair), pa.array(counts[pair])], names=["pair", "n"])
+
+    return _matrix(tokens.where(F.col("label") == label).select("token").mapInArrow(run, "pair long, n long").groupBy("pair").agg(F.sum("n")))
+
+
+def _matrix(sums: DataFrame) -> np.ndarray:
+    counts = np.zeros((STATES, STATES))
+    for pair, n in sums.collect():
+        counts[pair // STATES, pair % STATES] = n
+    return counts
+
+
+def train(docs: DataFrame, text: str = "text") -> np.ndarray:
+    """By pair of characters, the log ratios of equally likely characters and of the patterns' finds to ordinary text."""
+    found = written(samples(docs, text), "secrets")
+    words = _matrix(found.where("label = 2").select("pair", "n"))
+    words[0], words[:, 0] = 0, 0  # words end sooner than tokens
+    random, plain = _token_pairs(found, 1), np.zeros((STATES, STATES))
+    for _ in range(ROUNDS):
+        plain = _token_pairs(found, 0, _log_ratios(words, plain, random))
+    return _log_ratios(words, plain, random)
+
+
+def _repeats(token: str) -> float:
+    """How much likelier, as a logarithm, the token's characters are if each draws on those before it than if all are equally likely."""
+    seen = np.bincount(_CLASS[np.frombuffer(token.encode(), np.uint8)])
+    seen = seen[seen > 0]
+    own = np.log(np.concatenate([np.arange(1, n + 1) for n in seen])).sum()
+    return float(own - np.log1p(np.arange(len(token)) / STATES).sum())
 
 
 def is_random(token: str, ratios: np.ndarray) -> bool:
-    return float(ratios.ravel()[_pairs(token)].sum()) >= np.log(MIN_RATIO) * len(token) / MIN_TOKEN
+    """Whether one of the random models is likelier enough; a run of few characters, as of ``=``, is not random."""
+    enough = np.log(MIN_RATIO) * len(token) / MIN_TOKEN
+    return float(ratios.reshape(len(ratios), -1)[:, _pairs(token)].sum(axis=1).max()) >= enough > _repeats(token)
 
 
 def all_spans(text: str, ratios: np.ndarray) -> list[tuple[int, int, int]]:

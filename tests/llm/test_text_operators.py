@@ -71,6 +71,21 @@ def test_random_strings_are_told_from_identifiers(spark, corpus):
     assert not any(got[len(corpus) + len(planted) + i].n_random for i in range(len(plain)))
 
 
+def test_random_strings_are_found_among_many_and_in_copies(spark, corpus):
+    r = random.Random(7)
+    planted = ["".join(r.choice(secrets.ALPHABET[:62]) for _ in range(32)) for _ in range(1001)]
+    plain = ["theeringtionanonrestble", "=" * 40, "-" * 16]
+    rows = [(i, f"see {p} here") for i, p in enumerate(planted)] + [(-1 - i, f"see {p} here") for i, p in enumerate(plain)]
+    base = spark.createDataFrame([(None, x) for x in corpus], "doc_id LONG, text STRING")
+    few = spark.createDataFrame([*rows, *[(1000, f"see {planted[1000]} here")] * 4000], base.schema)
+    for times in (1, 100):
+        docs = base.crossJoin(spark.range(times)).select(base.columns).unionByName(few)
+        got = {(x.doc_id, x.spans, x.n_random) for x in secrets.scan(docs).collect()}
+        caught = {i for i, spans, _ in got if i is not None and i >= 0 and spans == "random:4:36"}
+        assert len(caught) >= 980 and 1000 in caught
+        assert not any(n for i, _, n in got if i is None or i < 0)
+
+
 def test_redaction_replaces_spans_and_keeps_the_rest(spark, corpus):
     rows = [(1, "a token=abcdefghijkl0 b", 23, "t"), (2, None, None, "t"), (3, "clean", 5, "t"), (3, "clean", 5, "t"), (None, "password: 0123456789abcdef0", 27, "t")]
     docs = spark.createDataFrame(rows, "doc_id LONG, text STRING, n_chars LONG, spans STRING")
