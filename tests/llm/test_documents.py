@@ -110,6 +110,41 @@ def test_stated_and_inherited_licences(spark):
     assert licenses.licences(df.limit(0)).count() == 0
 
 
+def test_headers_amid_other_words_and_lines(spark):
+    texts = {
+        "Apache-2.0": [
+            "Copyright 2020 Foo Inc. All rights reserved. Licensed under the Apache License, Version 2.0",
+            'Licensed under the Apache License, Version 2.0 (the "License"); you may not use this file except as said',
+            "// Licensed under the Apache\n// License, Version 2.0 (read it)",
+            "x\n# SPDX-License-Identifier: Apache-2.0\ny",
+        ],
+        "proprietary": ["Copyright (c) 2011 Foo. All rights reserved."],
+        "GPL-2.0": ["GNU GENERAL PUBLIC LICENSE\nVersion 2, June 1991", "/* SPDX-License-Identifier: GPL-2.0-only */"],
+        "GPL-3.0": ["you can change it under the terms of the GNU General Public License as published by the Free Software Foundation, either version 3 of the License, or later"],
+        "LGPL-2.1": ["GNU LESSER GENERAL PUBLIC LICENSE\nVersion 2.1, February 1999"],
+        "MPL-2.0": ["This Source Code Form is subject to the terms of the Mozilla Public\nLicense, v. 2.0. If a copy was not given"],
+        "BSD-2-Clause": ["The BSD 2-Clause License for foo"],
+        "Zlib": ["SPDX-License-Identifier: Zlib"],
+        None: ["words of no licence at all", "sie kamen mit ihm und mit ihr"],
+    }
+    want = [(k, t) for k, ts in texts.items() for t in ts]
+    files = spark.createDataFrame([(f"{i}/f.txt", i, t) for i, (_, t) in enumerate(want)], "path STRING, doc_id LONG, text STRING")
+    more = spark.range(5000).select(F.concat(F.lit("m/"), "id").alias("path"), (-1 - F.col("id")).alias("doc_id"), F.concat(F.lit("the end of line "), "id", F.lit(" mit you")).alias("text"))
+    got = {r.doc_id: r for r in licenses.licences(files.unionByName(more)).collect()}
+    assert len(got) == len(want) + 5000
+    assert [(got[i].licence, t) for i, (_, t) in enumerate(want)] == want
+    assert all(r.licence is None for i, r in got.items() if i < 0)
+
+
+def test_weights_of_words_beyond_the_commonest(spark, monkeypatch):
+    line = "Released under MIT License by foo"
+    files = spark.createDataFrame([("a", 1, line), *(("b", 2 + i, f"foo bar baz{i}\nby the qux") for i in range(300))], "path STRING, doc_id LONG, text STRING")
+    cosine = lambda: [(r.licence, r.cosine) for r in licenses.licences(files).where("doc_id = 1").collect()]
+    want = cosine()
+    monkeypatch.setattr(licenses, "COMMON", 1)
+    assert cosine() == want and want[0][0] == "MIT"
+
+
 def test_cosines_of_all_lines_by_hand(spark):
     import math
     from collections import Counter
