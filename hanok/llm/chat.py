@@ -2,15 +2,60 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
+
+from hanok.llm.shared import written
 
 PART_TURNS = 256  # turn numbers in a part of a dialogue
+MAX_CHARS = 1 << 25  # characters of a part, beyond which it is cut between turns
+BLOCK = 1024  # turns whose places are added up at a time
 # How a turn is written.
 BEGIN, END = "<|im_start|>", "<|im_end|>"
 NARRATOR = "system"  # speaks to all and has no point of view of its own
 
 
-def perspectives(turns: DataFrame, part_turns: int = PART_TURNS, narrator: str = NARRATOR) -> DataFrame:
+def _cut(said: DataFrame, large: DataFrame, max_chars: int) -> DataFrame:
+    """(conv_id, part, turns) of the parts in ``large``, cut where ``max_chars`` are full; later parts of a dialogue count on.
+
+    Copies are counted before anything is gathered, and lengths are added up within ranges of rows and then over the ranges.
+    """
+    rows = said.join(large, ["conv_id", "part"], "left_semi").groupBy("conv_id", "part", "turn", "role", "text", "chars").agg(F.count(F.lit(1)).alias("copies"))
+    full = F.greatest(F.lit(1), F.floor(F.lit(max_chars) / F.col("chars")))
+    rows = rows.withColumn("full", full).withColumn("first", F.explode(F.sequence(F.lit(0).cast("long"), F.col("copies") - 1, F.col("full"))))
+    rows = rows.withColumn("times", F.least("full", F.col("copies") - F.col("first")))
+    order = ["turn", "role", "text", "first"]
+    rows = rows.repartitionByRange("conv_id", "part", *order).withColumn("range", F.spark_partition_id())
+    rows = written(rows.select("conv_id", "part", *order, "times", (F.col("times") * F.col("chars")).alias("size"), "range"), "dialogues")
+    key = ["conv_id", "part", "range"]
+    before = Window.partitionBy("conv_id", "part").orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
+    ranges = rows.groupBy(*key).agg(F.sum("size").alias("size")).select(*key, F.coalesce(F.sum("size").over(before), F.lit(0)).alias("start"))
+    within = Window.partitionBy(*key).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    rows = rows.withColumn("at", F.coalesce(F.sum("size").over(within), F.lit(0))).join(ranges, key)
+    pieces = rows.groupBy("conv_id", "part", F.floor((F.col("start") + F.col("at")) / max_chars).alias("full")).agg(
+        F.sort_array(F.collect_list(F.struct(*order, "times"))).alias("turns")
+    )
+    pieces = written(pieces, "dialogues")
+    nth = Window.partitionBy("conv_id", "part").orderBy("full")
+    numbered = pieces.join(pieces.select("conv_id", "part", "full", (F.row_number().over(nth) - 1).alias("nth")), ["conv_id", "part", "full"])
+    one = F.transform(F.flatten(F.transform("turns", lambda t: F.array_repeat(t, t["times"].cast("int")))), lambda t: F.struct(t["turn"], t["role"], t["text"]))
+    return numbered.select("conv_id", "part", "nth", one.alias("turns"))
+
+
+def _parts(said: DataFrame, max_chars: int) -> DataFrame:
+    """(conv_id, part, turns), the turns in order."""
+    large = written(said.groupBy("conv_id", "part").agg(F.sum("chars").alias("chars")).where(F.col("chars") > max_chars).select("conv_id", "part"), "dialogues")
+    gathered = F.sort_array(F.collect_list(F.struct("turn", "role", "text"))).alias("turns")
+    if large.isEmpty():
+        return said.groupBy("conv_id", "part").agg(gathered)
+    cut = written(_cut(said, large, max_chars), "dialogues")
+    whole = said.join(large, ["conv_id", "part"], "left_anti").groupBy("conv_id", "part").agg(gathered)
+    more = cut.groupBy("conv_id", "part").agg(F.max("nth").alias("more")).groupBy("conv_id").agg(F.collect_list(F.struct("part", "more")).alias("cuts"))
+    parts = whole.withColumn("nth", F.lit(0)).unionByName(cut).join(more, "conv_id", "left")
+    earlier = F.aggregate(F.coalesce("cuts", F.array().cast("array<struct<part: long, more: int>>")), F.lit(0), lambda n, c: n + F.when(c["part"] < F.col("part"), c["more"]).otherwise(0))
+    return parts.select("conv_id", (F.col("part") + F.col("nth") + earlier).alias("part"), "turns")
+
+
+def perspectives(turns: DataFrame, part_turns: int = PART_TURNS, narrator: str = NARRATOR, max_chars: int = MAX_CHARS) -> DataFrame:
     """One row per dialogue, part and participant: conv_id, part, speaker, text, masks, n_turns, n_own.
 
     ``turns`` has conv_id, turn, role, text. Each participant of a dialogue (every role but the narrator's) is the assistant of one
@@ -19,8 +64,8 @@ def perspectives(turns: DataFrame, part_turns: int = PART_TURNS, narrator: str =
 
     Turns follow by number, those with the same number by role and text. A null text is empty. A null turn counts as -1, a null
     role as the narrator's, and turns without conv_id belong to no dialogue. A dialogue whose turn numbers reach beyond
-    ``part_turns`` comes in parts of as many numbers, so no dialogue has to fit in one row; a participant has all parts.
-    Repeated rows are said again.
+    ``part_turns`` comes in parts of as many numbers; a participant has all parts. A part of more than ``max_chars`` characters is
+    cut further, between turns, and the parts after it count on, so no dialogue has to fit in one row. Repeated rows are said again.
     """
     said = turns.where("conv_id IS NOT NULL").select(
         "conv_id",
@@ -29,9 +74,9 @@ def perspectives(turns: DataFrame, part_turns: int = PART_TURNS, narrator: str =
         F.coalesce("text", F.lit("")).alias("text"),
     )
     speakers = said.where(F.col("role") != narrator).select("conv_id", F.col("role").alias("speaker")).distinct()
-    parts = said.groupBy("conv_id", F.floor(F.greatest("turn", F.lit(0)) / part_turns).cast("long").alias("part")).agg(
-        F.sort_array(F.collect_list(F.struct("turn", "role", "text"))).alias("turns")
-    )
+    said = said.withColumn("part", F.floor(F.greatest("turn", F.lit(0)) / part_turns).cast("long"))
+    said = said.withColumn("chars", (F.char_length("text") + F.char_length("role") + len(f"{BEGIN}user name=\n{END}\n")).cast("long"))
+    parts = _parts(said, max_chars)
     seen = parts.join(speakers, "conv_id")
 
     def head(t):
@@ -48,17 +93,27 @@ def perspectives(turns: DataFrame, part_turns: int = PART_TURNS, narrator: str =
     def step(acc, p):
         start = acc["at"] + F.char_length(p["head"])
         end = start + F.char_length(p["said"])
-        span = F.concat_ws(":", start.cast("string"), end.cast("string"))
+        span = F.struct(start.alias("start"), end.alias("end"))
         spans = F.when(p["own"], F.concat(acc["spans"], F.array(span))).otherwise(acc["spans"])
         return F.struct((end + len(tail)).alias("at"), spans.alias("spans"))
 
-    none = F.struct(F.lit(0).alias("at"), F.array().cast("array<string>").alias("spans"))
+    none = F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<start: int, end: int>>").alias("spans"))
+    blocks = F.transform(F.sequence(F.lit(0), F.floor((F.size("pieces") - 1) / BLOCK).cast("int")), lambda n: F.aggregate(F.slice(F.col("pieces"), n * BLOCK + 1, F.lit(BLOCK)), none, step))
+
+    def onward(acc, block):
+        return F.struct((acc["at"] + block["at"]).alias("at"), F.concat(acc["starts"], F.array(acc["at"])).alias("starts"))
+
+    first = F.struct(F.lit(0).alias("at"), F.array().cast("array<int>").alias("starts"))
+    seen = seen.withColumn("blocks", blocks)
+    seen = seen.withColumn("starts", F.aggregate("blocks", first, onward)["starts"])
+    place = lambda s, at: F.concat_ws(":", (s["start"] + at).cast("string"), (s["end"] + at).cast("string"))
+    spans = F.flatten(F.zip_with("blocks", "starts", lambda b, at: F.transform(b["spans"], lambda s: place(s, at))))
     return seen.select(
         "conv_id",
         "part",
         "speaker",
         F.array_join(F.transform("pieces", lambda p: F.concat(p["head"], p["said"], F.lit(tail))), "").alias("text"),
-        F.array_join(F.aggregate("pieces", none, step)["spans"], ",").alias("masks"),
+        F.array_join(spans, ",").alias("masks"),
         F.size("pieces").cast("long").alias("n_turns"),
         F.size(F.filter("pieces", lambda p: p["own"])).cast("long").alias("n_own"),
     )

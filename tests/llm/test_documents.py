@@ -255,6 +255,22 @@ def test_every_speakers_view(spark):
     assert chat.perspectives(df.limit(0)).count() == 0
 
 
+def test_parts_too_long_for_a_row_are_cut_between_turns(spark):
+    rows = [(1, None, "ann", f"say {i}") for i in range(300)] + [(1, 0, "bob", "copy")] * 3000 + [(1, 600, "ann", "last"), (1, 1, "ann", "x" * 5000)] + [(2, i, "cy", "short") for i in range(3)]
+    df = spark.createDataFrame(rows, "conv_id LONG, turn INT, role STRING, text STRING").repartition(7)
+    whole = {(r.conv_id, r.part, r.speaker): r for r in chat.perspectives(df).collect()}
+    got = {(r.conv_id, r.part, r.speaker): r for r in chat.perspectives(df, max_chars=2000).collect()}
+    assert len(got) == chat.perspectives(df, max_chars=2000).count() and got[2, 0, "cy"] == whole[2, 0, "cy"]
+    for speaker in ("ann", "bob"):
+        mine = [got[k] for k in sorted(got) if k[0] == 1 and k[2] == speaker]
+        assert [r.part for r in mine[:-1]] == list(range(len(mine) - 1)) and mine[-1].part == len(mine) and len(mine) > 50
+        assert "".join(r.text for r in mine[:-1]) == whole[1, 0, speaker].text and mine[-1].text == whole[1, 2, speaker].text
+        assert all(len(r.text) <= 4000 or r.n_turns <= 50 for r in mine)
+        said = lambda r: [r.text[int(a) : int(b)] for a, b in (m.split(":") for m in r.masks.split(",") if m)]
+        assert [x for r in mine[:-1] for x in said(r)] == said(whole[1, 0, speaker])
+        assert sum(r.n_turns for r in mine) == 3302 and sum(r.n_own for r in mine) == (302 if speaker == "ann" else 3000)
+
+
 # archives
 
 
