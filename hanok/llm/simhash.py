@@ -50,15 +50,20 @@ def fingerprint(text: bytes, size: int, tables: tuple[np.ndarray, np.ndarray]) -
     return int(np.packbits((2 * ones > len(starts)).ravel(), bitorder="little").view("<u8")[0])
 
 
-def fingerprints(docs: DataFrame, shingle: int = 3, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """(doc_id, fp): the fingerprint of every whole text as a signed long; null and wordless texts have zero."""
+def _prints(docs: DataFrame, shingle: int, doc_id: str, text: str) -> DataFrame:
+    """(doc_id, key, fp); ``key`` tells texts with one doc_id apart."""
 
     def rows(batch: pa.RecordBatch) -> pa.RecordBatch:
         tables = _tables()
-        found = np.array([fingerprint(x, shingle, tables) for x in as_bytes(batch.column(1))], np.uint64).view(np.int64)
-        return pa.RecordBatch.from_arrays([batch.column(0), pa.array(found)], names=["doc_id", "fp"])
+        found = np.array([fingerprint(x, shingle, tables) for x in as_bytes(batch.column(2))], np.uint64).view(np.int64)
+        return pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(found)], names=["doc_id", "key", "fp"])
+
+    return map_batches(docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.xxhash64(text).alias("key"), F.col(text).alias("text")), "doc_id long, key long, fp long", rows)
+
 
-    return map_batches(docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text")), "doc_id long, fp long", rows)
+def fingerprints(docs: DataFrame, shingle: int = 3, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """(doc_id, fp): the fingerprint of every whole text as a signed long; null and wordless texts have zero."""
+    return _prints(docs, shingle, doc_id, text).select("doc_id", "fp")
 
 
 def embedding(fp: Column) -> Column:
@@ -138,10 +143,18 @@ def fingerprint_hex(fp: Column) -> Column:
 
 
 def keep_one(docs: DataFrame, shingle: int = 3, max_bits: int = 3) -> DataFrame:
-    """Of each component the document with the smallest doc_id; rows without doc_id stay as they are."""
-    copies = near_duplicates(docs, shingle, max_bits).where("doc_id <> component_id").select(F.col("doc_id").alias("copy")).distinct()
+    """Of each component of fingerprints the document with the smallest doc_id; rows without doc_id stay as they are.
+
+    A doc_id may stand for several texts: each belongs to its own component, and every component keeps one row.
+    """
+    prints = written(_prints(docs.where("doc_id IS NOT NULL"), shingle, "doc_id", "text"), "simhash")
+    first = written(prints.groupBy("fp").agg(F.min("doc_id").alias("doc_id"), F.min_by("key", F.struct("doc_id", "key")).alias("key")), "simhash-first")
+    found = components(links(first, max_bits), "simhash-links")
+    classes = first.join(found, first["fp"] == found["node"], "left").groupBy(F.coalesce("component", "fp").alias("component"))
+    chosen = classes.agg(F.min("doc_id").alias("kept_id"), F.min_by("key", F.struct("doc_id", "key")).alias("kept_key")).drop("component")
+    key = F.xxhash64("text")
     named = docs.where("doc_id IS NOT NULL")
-    named = named.join(copies, named["doc_id"] == copies["copy"], "left_anti")
-    order = F.row_number().over(Window.partitionBy("doc_id").orderBy("text"))
+    named = named.join(chosen, (named["doc_id"].cast("long") == chosen["kept_id"]) & (F.xxhash64(named["text"]) == chosen["kept_key"]), "left_semi")
+    order = F.row_number().over(Window.partitionBy("doc_id", key).orderBy("text"))
     named = named.select(F.struct("*").alias("row"), order.alias("nth")).where("nth = 1").select("row.*")
     return named.unionByName(docs.where("doc_id IS NULL"))

@@ -114,6 +114,12 @@ def test_one_document_of_each_group_stays(spark):
     assert simhash.keep_one(docs.limit(0)).count() == 0 and simhash.near_duplicates(docs.limit(0)).count() == 0
 
 
+def test_every_component_keeps_a_row_where_ids_repeat(spark):
+    rows = [(1, "a b c d e"), (5, "a b c d e"), (5, "q r s t u v"), (7, "q r s t u v"), (7, "one two three four"), (7, "one two three four"), (9, "un deux trois"), (9, None)]
+    docs = spark.createDataFrame(rows, "doc_id LONG, text STRING")
+    assert sorted(map(tuple, simhash.keep_one(docs).collect()), key=str) == sorted([rows[0], rows[2], rows[4], rows[6], rows[7]], key=str)
+
+
 def test_components_of_chains_stars_and_none(spark):
     r = random.Random(14)
     pairs = [(i, i + 1) for i in range(0, 120)] + [(500, i) for i in range(501, 560)] + [(700, 701), (701, 700), (702, 702)]
