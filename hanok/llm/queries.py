@@ -7,7 +7,7 @@ from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from hanok.llm import bpe, chat, decontaminate, licenses, minhash, quality, secrets, simhash, urls, warc
+from hanok.llm import audit, bpe, chat, decontaminate, licenses, lines, minhash, quality, search, secrets, simhash, urls, warc
 from hanok.llm.shared import table
 
 
@@ -62,6 +62,19 @@ def op10_warc(spark: SparkSession, sf: str) -> DataFrame:
     return warc.archive_and_read(table(spark, sf, "pages"))
 
 
+def op11_filter_audit(spark: SparkSession, sf: str) -> DataFrame:
+    return audit.audit(table(spark, sf, "documents"), table(spark, sf, "labels"))
+
+
+def op12_ranked_search(spark: SparkSession, sf: str) -> DataFrame:
+    return search.search(table(spark, sf, "documents"), table(spark, sf, "benchmark"))
+
+
+def op13_line_dedup(spark: SparkSession, sf: str) -> DataFrame:
+    found = lines.without_repeated(table(spark, sf, "documents"))
+    return found.select("doc_id", "n_lines", "n_dropped", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 QUERIES = {
     "op1_secret_scan": op1_secret_scan,
     "op2_chat_perspectives": op2_chat_perspectives,
@@ -73,6 +86,9 @@ QUERIES = {
     "op8_minhash": op8_minhash,
     "op9_quality": op9_quality,
     "op10_warc": op10_warc,
+    "op11_filter_audit": op11_filter_audit,
+    "op12_ranked_search": op12_ranked_search,
+    "op13_line_dedup": op13_line_dedup,
 }
 
 OP5_SQL = r"""
@@ -140,4 +156,87 @@ SELECT page_id, size AS payload_bytes, s.digest AS payload_digest,
 FROM sized s LEFT JOIN latest m ON s.digest = m.digest AND size >= 1000
 """
 
-SQL = {"op2_chat_perspectives": OP2_SQL, "op10_warc": OP10_SQL, "op5_decontaminate": OP5_SQL}
+OP11_SQL = r"""
+WITH words AS (
+  SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents
+), firsts AS (SELECT t, min(doc_id) AS first FROM words GROUP BY t),
+flags AS (
+  SELECT doc_id, part,
+         [CASE WHEN len(w) < 200 THEN 1 ELSE 0 END, CASE WHEN 100 * len(list_distinct(w)) < 50 * len(w) THEN 1 ELSE 0 END,
+          CASE WHEN 100 * length(regexp_replace(d.t, '[^A-Z]', '', 'g')) > 3 * length(d.t) THEN 1 ELSE 0 END,
+          CASE WHEN regexp_matches(d.t, '[#$%&*|]') THEN 1 ELSE 0 END, CASE WHEN doc_id > first THEN 1 ELSE 0 END] AS f
+  FROM words d JOIN firsts s ON d.t = s.t
+), known AS (
+  SELECT doc_id, max(CASE WHEN quality = 1 THEN 1 ELSE 0 END) AS good, max(CASE WHEN toxic = 1 THEN 1 ELSE 0 END) AS toxic FROM labels GROUP BY doc_id
+), masks AS (
+  SELECT part, f, count(*) AS n, sum(coalesce(good, 0)) AS good, sum(coalesce(toxic, 0)) AS toxic FROM flags d LEFT JOIN known k ON d.doc_id = k.doc_id GROUP BY part, f
+), letters AS (SELECT unnest(range(1, 6)) AS i),
+orders AS (
+  SELECT [a.i, b.i, c.i, d.i, e.i] AS o, list_aggregate([substr('ABCDE', x, 1) for x in [a.i, b.i, c.i, d.i, e.i]], 'string_agg', '') AS filter_order
+  FROM letters a, letters b, letters c, letters d, letters e WHERE len(list_distinct([a.i, b.i, c.i, d.i, e.i])) = 5
+), placed AS (SELECT o, filter_order, unnest(range(1, 6)) AS step FROM orders),
+counted AS (
+  SELECT part, filter_order, step, o[step] AS letter,
+         sum(CASE WHEN list_sum([f[x] for x in o[1:step]]) = 0 THEN n ELSE 0 END) AS kept,
+         sum(CASE WHEN f[o[step]] = 1 AND coalesce(list_sum([f[x] for x in o[1:step - 1]]), 0) = 0 THEN n ELSE 0 END) AS removed,
+         sum(CASE WHEN f[o[step]] = 1 AND list_sum([f[x] for x in o[1:step - 1]]) > 0 THEN n ELSE 0 END) AS redundant,
+         sum(CASE WHEN f[o[step]] = 1 AND list_sum(f) = 1 THEN n ELSE 0 END) AS unique_fails,
+         sum(CASE WHEN f[o[step]] = 1 AND coalesce(list_sum([f[x] for x in o[1:step - 1]]), 0) = 0 THEN good ELSE 0 END) AS good_lost,
+         sum(CASE WHEN f[o[step]] = 1 AND coalesce(list_sum([f[x] for x in o[1:step - 1]]), 0) = 0 THEN toxic ELSE 0 END) AS toxic_lost
+  FROM masks, placed GROUP BY part, filter_order, step, o
+)
+SELECT part, filter_order, CAST(step AS INTEGER) AS step, CAST(kept AS BIGINT) AS kept, CAST(removed AS BIGINT) AS removed,
+       CAST(redundant AS BIGINT) AS redundant, CAST(unique_fails AS BIGINT) AS unique_fails, CAST(good_lost AS BIGINT) AS good_lost,
+       CAST(toxic_lost AS BIGINT) AS toxic_lost, CAST(sum(removed) OVER (PARTITION BY part, letter) AS BIGINT) AS shapley
+FROM counted
+"""
+
+OP12_SQL = r"""
+WITH found AS (
+  SELECT row_number() OVER () AS row_no, doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS w
+  FROM documents
+), docs AS (SELECT row_no, doc_id, w, CAST(len(w) AS BIGINT) AS n FROM found WHERE len(w) > 0),
+whole AS (SELECT CAST(count(*) AS BIGINT) AS big_n, CAST(sum(n) AS BIGINT) AS big_l FROM docs),
+item_terms AS (
+  SELECT DISTINCT item_id, unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+  FROM benchmark
+), postings AS (
+  SELECT row_no, doc_id, n, term, CAST(count(*) AS BIGINT) AS tf FROM (SELECT row_no, doc_id, n, unnest(w) AS term FROM docs)
+  WHERE term IN (SELECT term FROM item_terms) GROUP BY row_no, doc_id, n, term
+), weights AS (
+  SELECT term, CAST(floor(1000 * ln((2 * big_n + 2) / (2 * count(*) + 1))) AS BIGINT) AS w FROM postings, whole GROUP BY term, big_n
+), impacts AS (
+  SELECT row_no, doc_id, p.term, w * ((1000000000 * tf) // (1000 * tf + 20 * (100 - 50 + (50 * n * big_n) // big_l))) AS added
+  FROM postings p JOIN weights s ON p.term = s.term, whole
+), scores AS (
+  SELECT item_id, row_no, doc_id, CAST(sum(added) AS BIGINT) AS score FROM item_terms i JOIN impacts p ON i.term = p.term GROUP BY item_id, row_no, doc_id
+), ranked AS (
+  SELECT item_id, doc_id, score, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id NULLS LAST) AS rank FROM scores WHERE score > 0
+)
+SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score FROM ranked WHERE rank <= 50
+"""
+
+OP13_SQL = r"""
+WITH split AS (
+  SELECT doc_id, row_no, unnest(string_split(t, chr(10))) AS line, generate_subscripts(string_split(t, chr(10)), 1) AS nth
+  FROM (SELECT coalesce(doc_id, -9223372036854775808) AS doc_id, coalesce(text, '') AS t, row_number() OVER () AS row_no FROM documents)
+), keyed AS (
+  SELECT *, translate(trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key FROM split
+), frequent AS (
+  SELECT key, max(doc_id) AS last FROM keyed WHERE length(key) >= 40 GROUP BY key HAVING count(DISTINCT doc_id) >= 5
+), judged AS (
+  SELECT k.*, f.key IS NOT NULL AND last <> doc_id AS lost FROM keyed k LEFT JOIN frequent f ON k.key = f.key
+)
+SELECT nullif(doc_id, -9223372036854775808) AS doc_id, count(*) AS n_lines, CAST(sum(CASE WHEN lost THEN 1 ELSE 0 END) AS BIGINT) AS n_dropped,
+       sha256(coalesce(string_agg(CASE WHEN lost THEN NULL ELSE line END, chr(10) ORDER BY nth), '')) AS kept_sha256
+FROM judged GROUP BY doc_id, row_no
+"""
+
+SQL = {
+    "op2_chat_perspectives": OP2_SQL,
+    "op5_decontaminate": OP5_SQL,
+    "op10_warc": OP10_SQL,
+    "op11_filter_audit": OP11_SQL,
+    "op12_ranked_search": OP12_SQL,
+    "op13_line_dedup": OP13_SQL,
+}
