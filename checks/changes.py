@@ -107,8 +107,9 @@ def visits(spark, sf):
     return pages.withColumn("total_pages", F.when(F.col("deal_ym").substr(6, 1).cast("int") % 2 == 1, 8).otherwise(7))
 
 
-COMPLETED = """SELECT lawd_cd, deal_ym, max(page_no) AS last_page, max(CASE WHEN CAST(substr(deal_ym, 6, 1) AS INT) % 2 = 1 THEN 8 ELSE 7 END) AS total_pages
-    FROM pages_all GROUP BY ALL HAVING max(page_no) >= max(CASE WHEN CAST(substr(deal_ym, 6, 1) AS INT) % 2 = 1 THEN 8 ELSE 7 END)"""
+TOTAL = "max(CASE WHEN CAST(substr(deal_ym, 6, 1) AS INT) % 2 = 1 THEN 8 ELSE 7 END)"
+COMPLETED = f"""SELECT lawd_cd, deal_ym, max(page_no) AS last_page, {TOTAL} AS total_pages
+    FROM pages_all GROUP BY ALL HAVING count(DISTINCT page_no) >= {TOTAL}"""
 
 
 @check("k12_completed_partitions", sql(COMPLETED, "pages_all"))

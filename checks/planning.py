@@ -11,7 +11,7 @@ from hanok.operators.quality import code_list
 
 ROWS_PER_PAGE = 4
 LIMIT = 1500
-MONTHS = 60
+MONTHS = 120
 
 
 def codes(spark, sf):

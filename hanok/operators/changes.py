@@ -65,13 +65,37 @@ def without_stale_pages(pages: DataFrame, totals: DataFrame) -> DataFrame:
     )
 
 
+def mark_stale(changes: DataFrame, totals: DataFrame) -> DataFrame:
+    """Pages above the newest total of their partition: ``removed`` where they were landed, ``stale`` where they only were fetched.
+
+    ``changes`` comes from ``page_changes``, ``totals`` has one row per partition.
+    """
+    current = totals.select(*PARTITION_KEYS, F.col("total_pages").alias("_total"))
+    above = F.col("page_no") > F.col("_total")
+    gone = F.when(above & F.col("old_fingerprint").isNotNull(), "removed").when(above, "stale")
+    return changes.join(current, list(PARTITION_KEYS), "left").withColumn("action", F.coalesce(gone, "action")).drop("_total")
+
+
+def page_totals(visits: DataFrame) -> DataFrame:
+    """(lawd_cd, deal_ym, total_pages) as the newest visit announced it; without ``fetched_at`` the greatest total counts."""
+    newest = F.max_by("total_pages", F.struct("fetched_at", "total_pages")) if "fetched_at" in visits.columns else F.max("total_pages")
+    return visits.groupBy(*PARTITION_KEYS).agg(newest.alias("total_pages"))
+
+
+def seen_pages(visits: DataFrame) -> DataFrame:
+    """Per partition ``total_pages``, ``last_page`` and ``missing``, the pages from 1 to the total that no visit saw, in whatever run.
+
+    The lists hold one partition's page numbers, a few hundred at most.
+    """
+    newest = F.max_by("total_pages", F.struct("fetched_at", "total_pages")) if "fetched_at" in visits.columns else F.max("total_pages")
+    seen = visits.groupBy(*PARTITION_KEYS).agg(F.max("page_no").alias("last_page"), newest.alias("total_pages"), F.collect_set("page_no").alias("_seen"))
+    expected = F.when(F.col("total_pages") > 0, F.sequence(F.lit(1), F.col("total_pages"))).otherwise(F.array().cast("array<int>"))
+    return seen.withColumn("missing", F.sort_array(F.array_except(expected, F.col("_seen").cast("array<int>")))).drop("_seen")
+
+
 def completed_partitions(visits: DataFrame) -> DataFrame:
-    """Partitions whose last page was reached, from (lawd_cd, deal_ym, page_no, total_pages)."""
-    return (
-        visits.groupBy(*PARTITION_KEYS)
-        .agg(F.max("page_no").alias("last_page"), F.max("total_pages").alias("total_pages"))
-        .where(F.col("last_page") >= F.col("total_pages"))
-    )
+    """Partitions of which every page from 1 to the total was seen, from (lawd_cd, deal_ym, page_no, total_pages)."""
+    return seen_pages(visits).where(F.size("missing") == 0).drop("missing")
 
 
 def add_markers(status: DataFrame, completed: DataFrame) -> DataFrame:

@@ -35,7 +35,7 @@ def read_csv_tree(spark: SparkSession, prefix: str, legacy_file: str | None = No
     if existing(spark, [root]):
         listed = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "*.csv").load(root)
         if not listed.select("path").isEmpty():
-            return read_pages(spark, root, columns=None, recursive=True).drop("_file")
+            return read_pages(spark, root, columns=None, recursive=True, only="*.csv").drop("_file")
     if legacy_file is None:
         raise ValueError(f"no CSV file below {prefix}")
     return read_pages(spark, legacy_file, columns=None).drop("_file")

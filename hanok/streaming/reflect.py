@@ -47,12 +47,7 @@ def reflect_new_pages(
     )
 
     def reflect(batch: DataFrame, _: int) -> None:
-        # Headers and rows are both joined to the entries, a short list.
-        entries = touched_partitions(batch).persist()
-        try:
-            load_partitions(batch.sparkSession, root, entries, table, location, table_format)
-        finally:
-            entries.unpersist()
+        load_partitions(batch.sparkSession, root, touched_partitions(batch), table, location, table_format)
 
     # A folder of its own per landing zone and table, where every executor can reach it.
     place = checkpoint or f"{shared_checkpoint_dir(spark)}/reflect/{table}"

@@ -90,6 +90,19 @@ def test_a_list_of_any_length_gives_the_same_rows(spark, landing):
     assert got[0] == got[1] == [("D", "01110", "202402"), ("E", "01110", "202402"), ("odd", None, "202402")]
 
 
+def test_only_the_listed_folders_are_opened(spark, tmp_path):
+    for code in range(10, 60):
+        for ym in range(202401, 202413):
+            page(tmp_path, f"{code}110", str(ym), 1, f"aptNm\n{code}-{ym}\n")
+    (tmp_path / "LAWD_CD=99999" / "DEAL_YM=202401").mkdir(parents=True)
+    entries = spark.createDataFrame([("42110", "202407"), ("99999", "202401"), ("77777", "202401"), ("42110", "209901")], "lawd_cd STRING, deal_ym STRING")
+    for listed in (entries, entries.persist()):
+        got = bronze.scan_partitions(spark, str(tmp_path), listed)
+        assert [f.split("/")[-3:] for f in got.inputFiles()] == [["LAWD_CD=42110", "DEAL_YM=202407", "page=1.csv"]]
+        assert rows(got.select("aptNm", "lawdCd", "deal_ym")) == [("42-202407", "42110", "202407")]
+    entries.unpersist()
+
+
 def test_any_number_of_headers(spark, tmp_path):
     for i in range(230):
         page(tmp_path, "11110", "202401", i + 1, f"x{i},aptNm\n{i},N{i}\n")
