@@ -19,6 +19,7 @@ from hanok.llm.shared import as_bytes, map_batches
 FILTERS = "ABCDE"
 FEWEST_WORDS = 200
 MOST_FILTERS = 8  # all orders are written out, 40,320 of eight filters
+SALTS = 16  # tasks that share the copies of one text
 _UPPER = bytes(range(65, 91))
 _CONTINUED = bytes(range(0x80, 0xC0))
 _MARKS = b"#$%&*|"
@@ -126,7 +127,8 @@ def failure_masks(docs: DataFrame, part: Column, doc_id: str = "doc_id", text: s
     """(doc_id, part, mask) for every row of ``docs``: bits 0 to 4 say that it fails A to E.
 
     A row fails E where its whole text is that of a row with a smaller doc_id; rows without doc_id are smaller than none and fail it
-    never. Copies meet by the SHA-256 of their texts, as digests with a doc_id each, and only digests of several rows are joined back.
+    never. Copies meet by the SHA-256 of their texts, as digests with a doc_id each, and only digests of several rows are joined back, once
+    for each of ``SALTS`` shares of the rows.
     """
 
     def rows(batch: pa.RecordBatch) -> pa.RecordBatch:
@@ -138,9 +140,11 @@ def failure_masks(docs: DataFrame, part: Column, doc_id: str = "doc_id", text: s
     kind = dict(docs.dtypes)[doc_id]
     own = docs.select(F.col(doc_id).alias("doc_id"), F.coalesce(part.cast("string"), F.lit("")).alias("part"), F.col(text).alias("text"))
     flagged = map_batches(own, f"doc_id {kind}, part string, mask int, digest binary", rows)
-    copied = flagged.groupBy("digest").agg(F.min("doc_id").alias("first"), F.count("*").alias("n")).where("n > 1").select("digest", "first")
+    copied = flagged.groupBy("digest").agg(F.min("doc_id").alias("first"), F.count("*").alias("n")).where("n > 1")
+    copied = copied.select("digest", "first", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt"))
+    flagged = flagged.withColumn("salt", F.pmod(F.xxhash64("doc_id"), F.lit(SALTS)).cast("int"))
     is_copy = F.coalesce(F.col("doc_id") > F.col("first"), F.lit(False)).cast("int")
-    return flagged.join(copied, "digest", "left").select("doc_id", "part", F.col("mask").bitwiseOR(F.shiftleft(is_copy, 4)).alias("mask"))
+    return flagged.join(copied, ["digest", "salt"], "left").select("doc_id", "part", F.col("mask").bitwiseOR(F.shiftleft(is_copy, 4)).alias("mask"))
 
 
 def interactions(masks: DataFrame, letters: str, weights: dict[str, Column]) -> DataFrame:
