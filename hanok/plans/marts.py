@@ -125,15 +125,24 @@ def complex_bucket_12m(trades: DataFrame, bucket: Column | None = None) -> DataF
     )
 
 
-def region_names(features: DataFrame, since_year: int = 2024) -> DataFrame:
-    """Latest non-blank name per region; of several names in its latest month the last in order.
+def region_month_names(features: DataFrame, since_year: int = 2024) -> DataFrame:
+    """The last name in order of every region and month that has a non-blank one.
 
     Names become distinct first: that step hashes, while a maximum of texts sorts its input.
     """
     named = features.where(text.blank_to_null(F.col("estateagentsggnm")).isNotNull() & (F.col("year") >= since_year))
-    few = named.select("sggcd", "deal_month_date", "estateagentsggnm").distinct()
-    by_month = few.groupBy("sggcd", "deal_month_date").agg(F.max("estateagentsggnm").alias("_name"))
-    return by_month.groupBy("sggcd").agg(F.max_by("_name", "deal_month_date").alias("region_ko"))
+    few = named.where("deal_month_date IS NOT NULL").select("sggcd", "deal_month_date", "estateagentsggnm").distinct()
+    return few.groupBy("sggcd", "deal_month_date").agg(F.max("estateagentsggnm").alias("region_ko"))
+
+
+def newest_names(by_month: DataFrame) -> DataFrame:
+    """Each region's name in its latest month."""
+    return by_month.groupBy("sggcd").agg(F.max_by("region_ko", "deal_month_date").alias("region_ko"))
+
+
+def region_names(features: DataFrame, since_year: int = 2024) -> DataFrame:
+    """Latest non-blank name per region; of several names in its latest month the last in order."""
+    return newest_names(region_month_names(features, since_year))
 
 
 def reconcile(mart: DataFrame, trades: DataFrame, months: int) -> DataFrame:

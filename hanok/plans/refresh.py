@@ -1,4 +1,4 @@
-"""Jobs: load the raw table, rebuild the marts, publish the boards."""
+"""Jobs: load the raw table, keep it and the marts up to date, publish the boards."""
 
 from __future__ import annotations
 
@@ -6,8 +6,10 @@ from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from hanok.operators import ledger
+from hanok.operators.changes import PARTITION_KEYS
 from hanok.operators.quality import partition_entries
-from hanok.plans import boards, marts, price_change
+from hanok.plans import boards, landing, monthly, price_change
 from hanok.plans.catalog import DatasetCatalog
 from hanok.schema import RAW_PARTITION_COLUMNS, RAW_SCHEMA
 from hanok.sinks import lake
@@ -41,32 +43,56 @@ def load_partitions(
     lake.replace_partitions(bronze.scan_partitions(spark, bronze_path, entries), table, RAW_PARTITION_COLUMNS, table_format)
 
 
+def reflect_pages(spark: SparkSession, entries: DataFrame, pages: str, table: str = RAW_TABLE, table_format: str = lake.PARQUET) -> list[str]:
+    """Replace the listed (lawd_cd, deal_ym) partitions of the raw table by what the page table holds of them; the months, as codes.
+
+    Partitions without a landed row are dropped. Running it again changes nothing.
+    """
+    lake.create_table(spark, table, RAW_SCHEMA, RAW_PARTITION_COLUMNS, None, False, table_format)
+    months = set()
+    for group in landing.in_groups(entries.select(*PARTITION_KEYS).distinct()):
+        keys = [(r.lawd_cd, r.deal_ym) for r in group]
+        months |= {ym for _, ym in keys}
+        chosen = lake.partition_filter(PARTITION_KEYS, keys)
+        source = F.concat(F.lit(f"{pages}/LAWD_CD="), "lawd_cd", F.lit("/DEAL_YM="), "deal_ym", F.lit("/page="), "page_no", F.lit(".csv"))
+        rows = spark.table(pages).where(chosen)
+        filled = {(r.lawd_cd, r.deal_ym) for r in rows.select(*PARTITION_KEYS).distinct().collect()}
+        lake.replace_partitions(bronze.to_raw_table(rows.withColumn("_file", source)), table, RAW_PARTITION_COLUMNS, table_format)
+        gone = [{"year": int(ym[:4]), "month": int(ym[4:]), "lawdCd": code} for code, ym in keys if (code, ym) not in filled]
+        lake.drop_partitions(spark, table, gone, table_format)
+    return sorted(months)
+
+
 def incremental_load(
-    spark: SparkSession, bronze_path: str, manifest_path: str, table: str = RAW_TABLE,
-    location: str | None = None, table_format: str = lake.PARQUET,
+    spark: SparkSession, bronze_path: str | None, manifest_path: str, table: str = RAW_TABLE,
+    location: str | None = None, table_format: str = lake.PARQUET, pages: str | None = None,
 ) -> bool:
-    """Reflect one run's manifest into the raw table; False where there is nothing to do."""
+    """Reflect one run's manifest into the raw table, from the page table ``pages`` or the landing zone; False where there is nothing to do."""
     if not bronze.existing(spark, [manifest_path]):
         return False
     entries = partition_entries(files.read_manifest(spark, manifest_path))
     if entries.isEmpty():
         return False
-    load_partitions(spark, bronze_path, entries, table, location, table_format)
+    if pages is not None:
+        reflect_pages(spark, entries, pages, table, table_format)
+    else:
+        load_partitions(spark, bronze_path, entries, table, location, table_format)
     return True
 
 
-def build_marts(spark: SparkSession, raw: DataFrame, database: str, table_format: str = lake.PARQUET) -> None:
-    """Write typed trades and every mart as tables; later steps start from those, not from raw."""
-    # By month: the marts' month windows then skip whole folders.
-    lake.replace_table(marts.trades_from_raw(raw), f"{database}.trade_features", ["deal_month_date"], table_format=table_format)
-    trades = spark.table(f"{database}.trade_features")
-    lake.replace_table(marts.region_monthly_stats(trades), f"{database}.region_monthly_stats", table_format=table_format)
-    lake.replace_table(marts.complex_monthly_median(trades), f"{database}.complex_monthly_median", ["deal_month_date"], table_format=table_format)
-    lake.replace_table(marts.region_last12m(trades), f"{database}.region_last12m", table_format=table_format)
-    lake.replace_table(marts.complex_bucket_12m(trades), f"{database}.complex_bucket_12m", table_format=table_format)
-    lake.replace_table(marts.region_names(trades), f"{database}.region_names", table_format=table_format)
+def daily_sync(
+    spark: SparkSession, answers: DataFrame, database: str, pages: str = landing.PAGE_TABLE, markers: str = landing.MARKER_TABLE,
+    table: str = RAW_TABLE, run: landing.Run | None = None, table_format: str = lake.PARQUET,
+) -> list[str]:
+    """Land a run's answers, reflect the changed partitions into the raw table, and bring the marts of their months up to date."""
+    run = run or landing.Run()
+    landing.land_answers(spark, answers, pages, markers, table_format=table_format, run=run)
+    months = reflect_pages(spark, ledger.changed_in(spark.table(landing.run_table(pages)), run.run_id), pages, table, table_format)
+    monthly.update_marts(spark, table, database, months, table_format)
+    return months
 
 
+build_marts = monthly.build_marts
 MART_TABLES = ("region_monthly_stats", "complex_monthly_median", "region_last12m", "complex_bucket_12m", "region_names")
 
 
