@@ -127,21 +127,21 @@ WITH said AS (
 ), speakers AS (
   SELECT DISTINCT conv_id, role AS speaker FROM said WHERE role <> 'system'
 ), pieces AS (
-  SELECT t.conv_id, greatest(turn, 0) // 256 AS part, speaker, turn, role, said, role = speaker AS own,
+  SELECT t.conv_id, speaker, turn, role, said, role = speaker AS own,
          CASE WHEN role = speaker THEN '<|im_start|>assistant' WHEN role = 'system' THEN '<|im_start|>system'
               ELSE '<|im_start|>user name=' || role END || chr(10) AS head,
-         row_number() OVER (PARTITION BY t.conv_id, greatest(turn, 0) // 256, speaker ORDER BY turn, role, said) AS nth
+         row_number() OVER (PARTITION BY t.conv_id, speaker ORDER BY turn, role, said) AS nth
   FROM said t JOIN speakers s ON t.conv_id = s.conv_id
 ), placed AS (
   SELECT *, head || said || '<|im_end|>' || chr(10) AS piece,
-         sum(length(head || said || '<|im_end|>' || chr(10))) OVER (PARTITION BY conv_id, part, speaker ORDER BY nth)
+         sum(length(head || said || '<|im_end|>' || chr(10))) OVER (PARTITION BY conv_id, speaker ORDER BY nth)
          - length(said || '<|im_end|>' || chr(10)) AS start
   FROM pieces
 )
-SELECT conv_id, part, speaker, string_agg(piece, '' ORDER BY nth) AS text,
+SELECT conv_id, CAST(0 AS BIGINT) AS part, speaker, string_agg(piece, '' ORDER BY nth) AS text,
        coalesce(string_agg(CASE WHEN own THEN CAST(start AS BIGINT) || ':' || CAST(start + length(said) AS BIGINT) END, ',' ORDER BY nth), '') AS masks,
        count(*) AS n_turns, CAST(sum(CASE WHEN own THEN 1 ELSE 0 END) AS BIGINT) AS n_own
-FROM placed GROUP BY conv_id, part, speaker
+FROM placed GROUP BY conv_id, speaker
 """
 
 OP10_SQL = """

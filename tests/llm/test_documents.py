@@ -245,17 +245,24 @@ def test_every_speakers_view(spark):
     ]
     df = spark.createDataFrame([(*r, 1) for r in rows], "conv_id LONG, turn INT, role STRING, text STRING, part INT")
     got = {(r.conv_id, r.part, r.speaker): r for r in chat.perspectives(df).collect()}
-    assert set(got) == {(1, p, s) for p in (0, 1) for s in ("ann", "bob", "cy")} | {(3, 0, "dan"), (4, 0, "fay")}
+    assert set(got) == {(1, 0, s) for s in ("ann", "bob", "cy")} | {(3, 0, "dan"), (4, 0, "fay")}
     for (conv, part, speaker), r in got.items():
         own = [r.text[int(a) : int(b)] for a, b in (m.split(":") for m in r.masks.split(",") if m)]
-        told = sorted((t if t is not None else -1, x or "system", y or "") for c, t, x, y in rows if c == conv and max(t or 0, 0) // 256 == part)
+        told = sorted((t if t is not None else -1, x or "system", y or "") for c, t, x, y in rows if c == conv)
         name = lambda x: "assistant" if x == speaker else "system" if x == "system" else f"user name={x}"
         assert r.text == "".join(f"<|im_start|>{name(x)}\n{y}<|im_end|>\n" for _, x, y in told)
         assert own == [y for _, x, y in told if x == speaker] and (r.n_turns, r.n_own) == (len(told), len(own))
     assert chat.perspectives(df.limit(0)).count() == 0
 
 
-def test_parts_too_long_for_a_row_are_cut_between_turns(spark):
+def test_a_dialogue_of_many_turns_is_whole(spark):
+    rows = [(1, 0, "system", "be brief")] + [(1, i, ("ann", "bob")[i % 2], f"say {i}") for i in range(1, 3001)]
+    for r in chat.perspectives(spark.createDataFrame(rows, "conv_id LONG, turn INT, role STRING, text STRING").repartition(5)).collect():
+        assert r.part == 0 and r.n_turns == 3001 and r.n_own == 1500 and r.text.startswith("<|im_start|>system\nbe brief<|im_end|>\n")
+        assert [r.text[int(a) : int(b)] for a, b in (m.split(":") for m in r.masks.split(","))] == [y for _, _, x, y in rows if x == r.speaker]
+
+
+def test_dialogues_too_long_for_a_row_are_cut_between_turns(spark):
     rows = [(1, None, "ann", f"say {i}") for i in range(300)] + [(1, 0, "bob", "copy")] * 3000 + [(1, 600, "ann", "last"), (1, 1, "ann", "x" * 5000)] + [(2, i, "cy", "short") for i in range(3)]
     df = spark.createDataFrame(rows, "conv_id LONG, turn INT, role STRING, text STRING").repartition(7)
     whole = {(r.conv_id, r.part, r.speaker): r for r in chat.perspectives(df).collect()}
@@ -263,11 +270,11 @@ def test_parts_too_long_for_a_row_are_cut_between_turns(spark):
     assert len(got) == chat.perspectives(df, max_chars=2000).count() and got[2, 0, "cy"] == whole[2, 0, "cy"]
     for speaker in ("ann", "bob"):
         mine = [got[k] for k in sorted(got) if k[0] == 1 and k[2] == speaker]
-        assert [r.part for r in mine[:-1]] == list(range(len(mine) - 1)) and mine[-1].part == len(mine) and len(mine) > 50
-        assert "".join(r.text for r in mine[:-1]) == whole[1, 0, speaker].text and mine[-1].text == whole[1, 2, speaker].text
+        assert [r.part for r in mine] == list(range(len(mine))) and len(mine) > 50
+        assert "".join(r.text for r in mine) == whole[1, 0, speaker].text
         assert all(len(r.text) <= 4000 or r.n_turns <= 50 for r in mine)
         said = lambda r: [r.text[int(a) : int(b)] for a, b in (m.split(":") for m in r.masks.split(",") if m)]
-        assert [x for r in mine[:-1] for x in said(r)] == said(whole[1, 0, speaker])
+        assert [x for r in mine for x in said(r)] == said(whole[1, 0, speaker])
         assert sum(r.n_turns for r in mine) == 3302 and sum(r.n_own for r in mine) == (302 if speaker == "ann" else 3000)
 
 
