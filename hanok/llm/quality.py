@@ -9,6 +9,7 @@ Labels belong to documents, so in fitting each line carries its document's label
 
 from __future__ import annotations
 
+import zlib
 from collections import Counter
 from dataclasses import dataclass
 
@@ -19,7 +20,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from hanok.llm.shared import as_bytes, map_batches
 
 MAX_DOCS = 4000  # labelled documents that the model is fitted to
-MAX_LINES = 1000  # longer documents are scored whole, but not used in fitting
+MAX_LINES = 100  # lines in a row that each of them gives to the fit, so 400,000 lines of 48 numbers at most; scores see all lines
 THRESHOLD = 0.7
 SLICE = 1 << 21  # bytes of text whose features are counted at a time
 
@@ -187,24 +188,28 @@ def held_out(doc_id: Column) -> Column:
 def train(docs: DataFrame, labels: DataFrame, max_docs: int = MAX_DOCS) -> Crf:
     """Fit to at most ``max_docs`` labelled documents, taken by the hash of doc_id; a document's label is that of most of its rows.
 
+    Of several rows of one doc_id the least text is taken, and of a document with more than ``MAX_LINES`` lines as many in a row, from a
+    place that hangs on the text. So what comes to the driver has a set size, whatever the texts.
+
     Without documents of both labels there is nothing to tell apart: every text then scores the share of label 1, and 1 where
     no label is known.
     """
     known = labels.where("quality IS NOT NULL AND doc_id IS NOT NULL").where(~held_out(F.col("doc_id")))
     known = known.groupBy("doc_id").agg((F.avg("quality") >= 0.5).cast("int").alias("label"))
     sample = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_docs)
-    rows = docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id").select("label", "text")
+    rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).join(F.broadcast(sample), "doc_id")
+    rows = rows.groupBy("doc_id", "label").agg(F.min("text").alias("text")).select("label", "text")
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-        features, sizes, lines = line_features(as_bytes(batch.column(1)))
-        cut = np.cumsum(lines)[:-1]
-        keep = np.flatnonzero(lines <= MAX_LINES)
-        parts, weights = np.split(features.astype(np.float32), cut), np.split(sizes, cut)
+        texts = as_bytes(batch.column(1))
+        features, sizes, lines = line_features(texts)
+        starts = np.cumsum(lines) - lines + [zlib.crc32(x) % max(1, n - MAX_LINES + 1) for x, n in zip(texts, lines.tolist())]
+        taken = [slice(a, a + n) for a, n in zip(starts.astype(int), np.minimum(lines, MAX_LINES))]
         return pa.RecordBatch.from_arrays(
             [
-                batch.column(0).take(pa.array(keep)),
-                pa.array([parts[i].tobytes() for i in keep], pa.binary()),
-                pa.array([weights[i].tobytes() for i in keep], pa.binary()),
+                batch.column(0),
+                pa.array([features[x].astype(np.float32).tobytes() for x in taken], pa.binary()),
+                pa.array([sizes[x].tobytes() for x in taken], pa.binary()),
             ],
             names=["label", "features", "sizes"],
         )
@@ -219,7 +224,11 @@ def train(docs: DataFrame, labels: DataFrame, max_docs: int = MAX_DOCS) -> Crf:
 
 
 def score(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD, max_docs: int = MAX_DOCS) -> DataFrame:
-    """One row per document: doc_id, held_out, score, predicted. A null or empty text is one empty line."""
+    """One row per document: doc_id, held_out, score, predicted. A null or empty text is one empty line.
+
+    Repeated rows stay repeated, and rows of one doc_id are scored each by its own text; a null doc_id is not held out. Every line of a
+    text counts, however long it is. A score of just ``threshold`` is accepted.
+    """
     docs = docs.select("doc_id", "text")
     shared = docs.sparkSession.sparkContext.broadcast(train(docs, labels, max_docs))
 

@@ -74,6 +74,23 @@ def test_held_out_labels_are_predicted_and_never_read(spark):
     assert all(h == (zlib.crc32(str(i).encode()) % 4 == 2) for i, h in crc.items())
 
 
+def test_what_is_fitted_has_a_set_size(spark):
+    good, bad = "A line of prose, as it should be.\n" * 3, "WIN $$$ NOW | BUY | 100% !!!\n" * 3
+    long_one = next(i for i in range(0, 40, 2) if zlib.crc32(str(i).encode()) % 4 != 2)
+    docs = [(i, (good, bad)[i % 2] + f"{i} more." if i != long_one else good * 4000) for i in range(40)] + [(1, bad)] * 2000
+    df = spark.createDataFrame(docs, "doc_id LONG, text STRING").repartition(6)
+    labels = spark.createDataFrame([(i, 1 - i % 2, 0) for i in range(40)], "doc_id LONG, quality INT, toxic INT")
+    got, fit = [], quality.fit
+    quality.fit = lambda features, sizes, lines, labels: got.append((len(features), lines.tolist(), len(labels))) or fit(features, sizes, lines, labels)
+    try:
+        scored = quality.score(df, labels).collect()
+    finally:
+        quality.fit = fit
+    rows, lines, documents = got[0]
+    assert documents <= 40 and max(lines) == quality.MAX_LINES and rows == sum(lines) < 40 * 5 + quality.MAX_LINES
+    assert len(scored) == 2040 and all(r.predicted == 1 - r.doc_id % 2 for r in scored)
+
+
 def test_scores_of_odd_rows(spark):
     docs = spark.createDataFrame([(1, None, 5), (2, "", 5), (2, "", 5), (None, "A line.", 5), (3, "x " * 80_000 + "\n" * 3000, 5)], "doc_id LONG, text STRING, score INT")
     none = spark.createDataFrame([], "doc_id LONG, quality INT, toxic INT")
