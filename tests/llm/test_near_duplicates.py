@@ -181,6 +181,19 @@ def test_fingerprints_and_neighbours(spark):
         assert all(0 <= x.near_edited <= 1 and 0 <= x.near_next <= 1 for x in got)
 
 
+def test_rows_of_one_doc_id_come_in_many_ranges(spark):
+    r = random.Random(3)
+    rows = [(7 if r.random() < 0.9 else r.randrange(20), f"{r.randrange(10**9):09} text") for _ in range(3000)] + [(None, f"{i:05} none") for i in range(500)]
+    docs = spark.createDataFrame(rows, "doc_id LONG, text STRING").repartition(6)
+    order = sorted(rows, key=lambda x: (x[0] is None, -(x[0] or 0), x[1]))
+    want = sorted(((i, t, n) for (i, t), (_, n) in zip(order, order[1:] + order[:1])), key=str)
+    for ranges in (None, 40, 100_000):
+        found = minhash.with_next(docs, ["text"], ranges)
+        assert sorted(map(tuple, found.collect()), key=str) == want
+    edges = minhash._edges(docs, 100).collect()
+    assert sum(e.place.id == ~7 for e in edges) > 40 and sum(e.place.none for e in edges) > 4
+
+
 def test_likeness_is_near_the_jaccard_similarity(spark):
     r = random.Random(16)
     rows = []
