@@ -1,8 +1,11 @@
 """URL verdicts: listed rules first, else words of host and path under naive Bayes.
 
 Names that are written together are cut by Viterbi into the likeliest words under a unigram model. The model counts the words of the
-pages and of the urls themselves. Multinomial naive Bayes then weighs the words of host and path; it learns from the urls whose host
-has a word of the seed lists. All counting is joined and summed by Spark over all pages; what tasks get of the Bayes model has a fixed
+pages, of the urls' paths, and the parts of host names that hyphens divide. Multinomial naive Bayes then weighs the words of host and path.
+It knows three kinds of urls: those to block by name, of which the first examples are hosts with a word of the seed list and the
+further ones, round by round, urls that the model itself blocks by name; those that a rule blocks; and all others. Of an example that
+a rule decides, the rule's own words are left out, so that the rule is not learned as if it were a word. Each host and kind of path counts
+once, however many pages it has. All counting is joined and summed by Spark over all pages; what tasks get of the model has a fixed
 size, since its words share ``BUCKETS`` slots.
 """
 
@@ -10,6 +13,7 @@ from __future__ import annotations
 
 import math
 import re
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -25,10 +29,12 @@ BLOCK_SEEDS = (
     "spam malware phishing warez crack torrent ads tracker clickbait payday"
 ).split()
 SEED_COUNT = 50  # a seed word counts as if seen so often
-MAX_WORD = 20  # characters of a word in a host
-MAX_LABEL = 63  # characters of a label by the rules of the DNS; longer ones stay whole
+MAX_WORD = 63  # letters of a word in a host: as long as the DNS lets a whole label be
 BUCKETS = 1 << 16
 NUMBER = "#"
+SMOOTHING = 20.0  # how many words of average text each kind of url is taken to have more
+PRIOR = 0.1  # odds of a url to be blocked before its words are seen
+ROUNDS = 4
 _WORD = re.compile(r"[a-z]+|[0-9]+|[^\x00-\x7f]+")
 
 
@@ -53,28 +59,26 @@ def matched_rule(host: Column, path: Column, rules=RULES) -> tuple[Column, Colum
 
 
 def labels_of(host: str) -> list[str]:
-    """Runs of letters in a host, without its last label."""
-    return [w for label in host.split(":")[0].split(".")[:-1] for w in _WORD.findall(label)]
+    """Runs of letters in a host, without its last label, port and user."""
+    return [w for label in host.rsplit("@", 1)[-1].split(":")[0].split(".")[:-1] for w in _WORD.findall(label)]
 
 
-def _html_words(pages: DataFrame) -> DataFrame:
-    """(word, n): words of all pages' texts, tags and their attributes included, of a length that a host's word can have."""
+def _counted_words(pages: DataFrame) -> DataFrame:
+    """(word, n): words of all pages' texts, tags and attributes included, of their paths, and of the hyphened parts of their hosts."""
 
     def rows(batch: pa.RecordBatch) -> pa.RecordBatch:
         counts: dict[str, int] = {}
-        for x in as_texts(batch.column(0)):
-            for w in re.findall(r"[a-z]+|[^\x00-\x7f]+", x.lower()):
-                if len(w) <= MAX_WORD:
-                    counts[w] = counts.get(w, 0) + 1
+        for html, host, path in zip(*(as_texts(batch.column(i)) for i in range(3))):
+            parts = [w for label in host.rsplit("@", 1)[-1].split(":")[0].split(".")[:-1] if "-" in label for w in _WORD.findall(label)]
+            for w in [*re.findall(r"[a-z]+|[^\x00-\x7f]+", f"{html} {path}".lower()), *parts]:
+                counts[w] = counts.get(w, 0) + 1
         return pa.RecordBatch.from_arrays([pa.array(list(counts), pa.string()), pa.array(list(counts.values()), pa.int64())], names=["word", "n"])
 
-    return map_batches(pages.select("html"), "word string, n long", rows).groupBy("word").agg(F.sum("n").alias("n"))
+    return map_batches(pages.select("html", "host", "path"), "word string, n long", rows).groupBy("word").agg(F.sum("n").alias("n"))
 
 
 def segment(label: str, costs: dict[str, float], unknown: float) -> list[str]:
     """The cheapest cut of ``label`` into words; a stretch that is no word costs ``unknown`` for each character and once more."""
-    if len(label) > MAX_LABEL:
-        return [label]
     best, back = [0.0], [0]
     for end in range(1, len(label) + 1):
         options = []
@@ -92,7 +96,7 @@ def segment(label: str, costs: dict[str, float], unknown: float) -> list[str]:
 
 
 def segmented_hosts(pages: DataFrame) -> DataFrame:
-    """(host, words) for every distinct host of ``pages`` (host, html).
+    """(host, words) for every distinct host of ``pages`` (host, path, html).
 
     A label's possible words are joined to the dictionary by word, so the dictionary is never held whole. Each distinct label is cut
     once, whichever hosts have it.
@@ -109,25 +113,25 @@ def segmented_hosts(pages: DataFrame) -> DataFrame:
         return pa.RecordBatch.from_arrays([pa.array(host, pa.string()), pa.array(label, pa.string()), pa.array(place, pa.int32())], names=["host", "label", "place"])
 
     parts = written(map_batches(hosts, "host string, label string, place int", cut), "host-labels")
-    labels = parts.groupBy("label").agg(F.count("*").alias("n"))
+    # A label may be long, its stretches many: they carry its digest only.
+    labels = parts.select("label").distinct().withColumn("id", F.md5("label"))
     seeds = pages.sparkSession.createDataFrame([(w, SEED_COUNT) for w in BLOCK_SEEDS], "word string, n long")
-    words = _html_words(pages).union(seeds).groupBy("word").agg(F.sum("n").alias("n"))
-    words = written(words.where("n > 1 AND length(word) > 1"), "words")
-    total = words.agg(F.sum("n")).first()[0] or 1
+    words = written(_counted_words(pages).union(seeds).groupBy("word").agg(F.sum("n").alias("n")).where(F.char_length("word") <= MAX_WORD), "words")
+    total = words.agg(F.sum("n") + F.count("*")).first()[0] or 1
     size = F.char_length("label")
-    starts = F.sequence(F.lit(1), F.least(size, F.lit(MAX_LABEL)))
-    pieces = labels.where(size <= MAX_LABEL).select("label", F.explode(starts).alias("start"))
-    pieces = pieces.select("label", F.explode(F.transform(F.sequence(F.lit(1), F.least(F.lit(MAX_WORD), F.char_length("label") - F.col("start") + 1)), lambda k: F.substring(F.col("label"), F.col("start"), k))).alias("word")).distinct()
-    known = pieces.join(words, "word").groupBy("label").agg(F.collect_list(F.struct("word", "n")).alias("known"))
+    pieces = labels.select("label", "id", F.explode(F.sequence(F.lit(1), size)).alias("start"))
+    lengths = F.sequence(F.lit(1), F.least(F.lit(MAX_WORD), size - F.col("start") + 1))
+    pieces = pieces.select("id", F.explode(F.transform(lengths, lambda k: F.substring(F.col("label"), F.col("start"), k))).alias("word")).distinct()
+    known = pieces.join(words, "word").groupBy("id").agg(F.collect_list(F.struct("word", "n")).alias("known"))
 
     def viterbi(batch: pa.RecordBatch) -> pa.RecordBatch:
         done = []
         for label, known in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-            costs = {k["word"]: math.log(total) - math.log(k["n"]) for k in known or ()}
+            costs = {k["word"]: math.log(total) - math.log(k["n"] + 1) for k in known or ()}
             done.append(segment(label, costs, math.log(total)))
         return pa.RecordBatch.from_arrays([batch.column(0), pa.array(done, pa.list_(pa.string()))], names=["label", "words"])
 
-    cuts = map_batches(labels.join(known, "label", "left").select("label", "known"), "label string, words array<string>", viterbi)
+    cuts = map_batches(labels.join(known, "id", "left").select("label", "known"), "label string, words array<string>", viterbi)
     placed = parts.join(cuts, "label").groupBy("host").agg(F.sort_array(F.collect_list(F.struct("place", "words"))).alias("all"))
     return written(placed.select("host", F.flatten(F.transform("all", lambda x: x["words"])).alias("words")), "host-words")
 
@@ -146,49 +150,90 @@ def _tokens(words: list[str] | None, path: str) -> list[int]:
     return [bucket("h " + w) for w in words or ()] + [bucket("p " + w) for w in path_words(path)]
 
 
-def train(urls: DataFrame) -> np.ndarray:
-    """Weights of the slots, log P(slot | block) - log P(slot | allow); ``urls`` has words and path.
+ALLOWED, NAMED, RULED, OPEN = range(4)  # kinds of examples; the open ones count as allowed until the model blocks them
 
-    Slots are counted by Spark; at most 2 x ``BUCKETS`` sums come to the driver. Both classes weigh the same, since the seeds say
-    nothing of how common blocked urls are. Where one class has no example, all weights are zero.
-    """
 
-    def run(batches):
-        counts, seeds = np.zeros((2, BUCKETS), np.int64), set(BLOCK_SEEDS)
-        for batch in batches:
-            for words, path in zip(batch.column(0).to_pylist(), as_texts(batch.column(1))):
-                np.add.at(counts[int(not seeds.isdisjoint(words or ()))], _tokens(words, path), 1)
-        label, slot = np.nonzero(counts)
-        yield pa.RecordBatch.from_arrays([pa.array(label, pa.int32()), pa.array(slot, pa.int32()), pa.array(counts[label, slot], pa.int64())], names=["label", "slot", "n"])
+@dataclass
+class Model:
+    """Per slot log P(slot | named) - log P(slot | allowed) and the same for urls that rules block; which of the two there are."""
+
+    weights: np.ndarray
+    known: tuple[bool, bool]
+
+    def score(self, slots: list[int]) -> float:
+        """Log odds of block against allow."""
+        found = [float(w[slots].sum()) + math.log(PRIOR) for w, some in zip(self.weights, self.known) if some]
+        return float(np.logaddexp.reduce(found)) if found else math.log(PRIOR)
+
 
-    counts = np.zeros((2, BUCKETS))
-    for label, slot, n in urls.select("words", "path").mapInArrow(run, "label int, slot int, n long").groupBy("label", "slot").agg(F.sum("n")).collect():
-        counts[label, slot] = n
-    used = counts.sum(axis=0) > 0
-    if not counts.sum(axis=1).all():
-        return np.zeros(BUCKETS)
-    chance = (counts + 1) / (counts.sum(axis=1, keepdims=True) + used.sum())
-    return np.where(used, np.log(chance[1]) - np.log(chance[0]), 0.0)
+def fit(counts: np.ndarray) -> Model:
+    """The model of ``counts``, three rows of slot counts: allowed, named, ruled."""
+    sums = counts.sum(axis=1)
+    usual = counts.sum(axis=0) / max(1, sums.sum())
+    chance = np.log((counts + SMOOTHING * usual + 1e-300) / (sums[:, None] + SMOOTHING))
+    return Model(np.where(usual > 0, chance[1:] - chance[0], 0.0), (bool(sums[1]), bool(sums[2])))
+
+
+def examples(urls: DataFrame) -> DataFrame:
+    """(slots, kind) of every different host, kind of path and rule; ``urls`` has words, path, rule and says, the rule's verdict."""
+
+    def rows(batch: pa.RecordBatch) -> pa.RecordBatch:
+        slots, kinds, seeds = [], [], set(BLOCK_SEEDS)
+        for words, path, rule, says in zip(*(c.to_pylist() for c in batch.columns)):
+            own = set(_tokens([w for x in (rule or "").split("/")[0].split(".") for w in _WORD.findall(x)], (rule or "").partition("/")[2]))
+            slots.append(sorted(t for t in _tokens(words or [], path or "") if t not in own))
+            kinds.append(NAMED if not seeds.isdisjoint(words or ()) else OPEN if says is None else RULED if says == "block" else ALLOWED)
+        return pa.RecordBatch.from_arrays([pa.array(slots, pa.list_(pa.int32())), pa.array(kinds, pa.int32())], names=["slots", "kind"])
+
+    return map_batches(urls.select("words", "path", "rule", "says"), "slots array<int>, kind int", rows).distinct()
+
+
+def train(examples: DataFrame) -> Model:
+    """Fit, then take the open examples that the model blocks by name for named ones and fit again, ``ROUNDS`` times.
+
+    Slots are counted by Spark; at most 3 x ``BUCKETS`` sums come to the driver in a round.
+    """
+    model = None
+    for _ in range(ROUNDS + 1):
+        shared = examples.sparkSession.sparkContext.broadcast(model)
+
+        def run(batches, shared=shared):
+            counts, model = np.zeros((3, BUCKETS), np.int64), shared.value
+            for batch in batches:
+                for slots, kind in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                    if kind == OPEN:
+                        kind = NAMED if model and model.known[0] and float(model.weights[0][slots].sum()) + math.log(PRIOR) > 0 else ALLOWED
+                    np.add.at(counts[kind], slots, 1)
+            kind, slot = np.nonzero(counts)
+            yield pa.RecordBatch.from_arrays([pa.array(kind, pa.int32()), pa.array(slot, pa.int32()), pa.array(counts[kind, slot], pa.int64())], names=["kind", "slot", "n"])
+
+        counts = np.zeros((3, BUCKETS))
+        for kind, slot, n in examples.mapInArrow(run, "kind int, slot int, n long").groupBy("kind", "slot").agg(F.sum("n")).collect():
+            counts[kind, slot] = n
+        model = fit(counts)
+    return model
 
 
 def judge(pages: DataFrame, rules=RULES) -> DataFrame:
-    """One row per page: page_id, host, path, rule, verdict, words (of the host) and score (above 0: block).
+    """One row per page: page_id, host, path, rule, verdict, words (of the host) and score (above 0: block; at 0: allow).
 
     ``pages`` has page_id, url, html. A url that is null or without ``://`` has empty host and path, no rule and no words, and is
-    allowed. Repeated rows stay repeated.
+    allowed. A user name, a port and the last label of a host are no words. Hosts and paths are read whole, whatever their length.
+    Repeated rows stay repeated and are learned from once. Without any example to block all urls have the same score and are allowed.
     """
     host, path = host_and_path(F.col("url"))
     pages = pages.select("page_id", host.alias("host"), path.alias("path"), "html")
-    urls = pages.drop("html").join(segmented_hosts(pages), "host", "left")
-    shared = pages.sparkSession.sparkContext.broadcast(train(urls))
+    rule, says = matched_rule(F.col("host"), F.col("path"), rules)
+    urls = pages.drop("html").join(segmented_hosts(pages), "host", "left").withColumns({"rule": rule, "says": says})
+    model = train(written(examples(urls), "url-examples"))
+    shared = pages.sparkSession.sparkContext.broadcast(model)
 
     def rows(batch: pa.RecordBatch) -> pa.RecordBatch:
-        weights = shared.value
-        found = [float(weights[_tokens(w, p)].sum()) for w, p in zip(batch.column(3).to_pylist(), as_texts(batch.column(2)))]
-        return pa.RecordBatch.from_arrays([*batch.columns, pa.array(found, pa.float64())], names=["page_id", "host", "path", "words", "score"])
+        found = [shared.value.score(_tokens(w or [], p)) for w, p in zip(batch.column(5).to_pylist(), as_texts(batch.column(2)))]
+        return pa.RecordBatch.from_arrays([*batch.columns, pa.array(found, pa.float64())], names=["page_id", "host", "path", "rule", "says", "words", "score"])
 
     kind = dict(pages.dtypes)["page_id"]
-    scored = map_batches(urls.select("page_id", "host", "path", "words"), f"page_id {kind}, host string, path string, words array<string>, score double", rows)
-    rule, says = matched_rule(F.col("host"), F.col("path"), rules)
-    verdict = F.coalesce(says, F.when(F.col("score") > 0, "block").otherwise("allow"))
-    return scored.select("page_id", "host", "path", rule.alias("rule"), verdict.alias("verdict"), F.array_join("words", " ").alias("words"), F.round("score", 6).alias("score"))
+    names = "page_id", "host", "path", "rule", "says", "words"
+    scored = map_batches(urls.select(*names), f"page_id {kind}, host string, path string, rule string, says string, words array<string>, score double", rows)
+    verdict = F.coalesce("says", F.when((F.col("score") > 0) & (F.col("host") != ""), "block").otherwise("allow"))
+    return scored.select("page_id", "host", "path", "rule", verdict.alias("verdict"), F.array_join("words", " ").alias("words"), F.round("score", 6).alias("score"))

@@ -237,6 +237,57 @@ def test_rules_and_words_of_urls(spark):
     assert urls.judge(pages.limit(0)).count() == 0
 
 
+def test_long_labels_users_ports_and_long_words(spark):
+    word = "donaudampfschifffahrtsgesellschaft"
+    found = {
+        "http://" + "casino" * 12 + ".org/a": ("block", " ".join(["casino"] * 12)),
+        "http://user:x@casino-win.org:8080/a": ("block", "casino win"),
+        f"http://{word}club.org/c": ("allow", f"{word} club"),
+        "http://" + "club" * 3000 + ".org/d": ("allow", " ".join(["club"] * 3000)),
+    }
+    html = f"<p>club club club {word}</p>"
+    pages = spark.createDataFrame([(i, u, html) for i, u in enumerate(found)] + [(9 + i, f"http://club{i}.org/{i}", html) for i in range(30)], "page_id LONG, url STRING, html STRING")
+    got = {r.page_id: (r.verdict, r.words) for r in urls.judge(pages).collect()}
+    assert [got[i] for i in range(len(found))] == list(found.values())
+
+
+def test_the_model_is_naive_bayes_over_the_examples(spark):
+    rows = [
+        (["casino", "win"], "/en/1", None, None), (["casino", "win"], "/en/22", None, None), (["garden"], "/x", None, None), (["win", "example"], "/en/3", "example.com/en/", "block"),
+        (["rose", "garden", "rose"], "/en/b", "com/", "allow"), (None, None, None, None),
+    ]
+    made = urls.examples(spark.createDataFrame(rows, "words array<string>, path STRING, rule STRING, says STRING"))
+    told = [("n", ["h casino", "h win", "p en", "p #"]), ("a", ["h garden", "p x"]), ("r", ["h win", "p #"]), ("a", ["h rose", "h garden", "h rose", "p en", "p b"]), ("a", [])]
+    assert sorted((sorted(r.slots), r.kind) for r in made.collect()) == sorted((sorted(map(urls.bucket, t)), {"n": 1, "r": 2, "a": 3 if t in (["h garden", "p x"], []) else 0}[k]) for k, t in told)
+    model = urls.train(made)
+    count = lambda kind, t: sum(x.count(t) for k, x in told if k == kind)
+    size = lambda kind: sum(len(x) for k, x in told if k == kind)
+    for t in ("h casino", "h win", "p en", "p #", "h garden", "h rose", "p x"):
+        usual = sum(count(k, t) for k in "nar") / sum(map(size, "nar"))
+        chance = {k: (count(k, t) + 20 * usual) / (size(k) + 20) for k in "nar"}
+        for n, k in enumerate("nr"):
+            assert abs(model.weights[n][urls.bucket(t)] - np.log(chance[k] / chance["a"])) < 1e-9
+    a, b = (sum(model.weights[n][urls.bucket(t)] for t in ("h win", "p en")) for n in (0, 1))
+    assert abs(model.score([urls.bucket("h win"), urls.bucket("p en")]) - np.log(0.1 * (np.exp(a) + np.exp(b)))) < 1e-9
+
+
+def test_words_beside_seeds_are_learned_and_without_seeds_there_is_a_model(spark):
+    r = random.Random(6)
+    clean = [f"{a}{b}" for a in ("garden", "river", "school", "music", "bread", "stone") for b in ("club", "house", "world", "road", "field")]
+    bad = ["lucky", "spins", "payout", "dealer", "slots"]
+    html = " ".join([*"garden river school music bread stone club house world road field lucky spins payout dealer slots".split()] * 3)
+    known = [f"{r.choice(bad)}{r.choice(['casino', 'poker', 'jackpot'])}{r.choice(bad)}" for _ in range(300)]
+    hidden = ["".join(r.sample(bad, 2)) for _ in range(60)]
+    hosts = [(h, "clean") for h in clean for _ in range(20)] + [(h, "known") for h in known] + [(h, "hidden") for h in hidden]
+    rows = [(i, f"http://{r.choice(['www.', ''])}{h}.org/{r.choice(['en', 'de'])}/{i}", html) for i, (h, _) in enumerate(hosts)]
+    got = {x.page_id: x.verdict for x in urls.judge(spark.createDataFrame(rows, "page_id LONG, url STRING, html STRING")).collect()}
+    share = lambda kind: np.mean([got[i] == "block" for i, (_, k) in enumerate(hosts) if k == kind])
+    assert share("known") == 1 and share("hidden") >= 0.9 and share("clean") <= 0.02
+    none = [(i, f"http://{h}.example.{r.choice(['com', 'net', 'org'])}/{r.choice(['en', 'es', 'de'])}/{i}", html) for i, h in enumerate(clean * 10)]
+    found = urls.judge(spark.createDataFrame(none, "page_id LONG, url STRING, html STRING")).collect()
+    assert len({x.score for x in found}) > 5 and all(x.verdict == "allow" for x in found if x.rule is None)
+
+
 def test_segmentation_is_the_likeliest_of_all_cuts():
     r = random.Random(3)
     for _ in range(60):
