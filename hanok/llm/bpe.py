@@ -25,6 +25,24 @@ from hanok.llm.shared import as_texts
 PIECE = 1 << 16  # characters fed at a time
 NEVER = 1 << 60  # rank of a pair that does not merge
 CACHE = 150_000  # words remembered in each of two generations
+# Where the tokenizers library's Unicode tables are older than those of this Python: letters and numbers that it takes
+# for signs, marks that it leaves in place when it composes; and capitals that it lowers and this Python does not.
+LATER_LETTERS = (
+    "558 58b-58c 88f c5c cdc 208f 209d-209f a7ce-a7cf a7d2 a7d4 a7dd a7e2 a7f1 ab6c-ab6d 107bb-107bf 10940-10959 10ec5-10ec7 10ed9-10eee 11b0a "
+    "11db0-11ddb 11df1 16ea0-16eb8 16ebb-16ed3 16ff2-16ff3 187f8-187ff 18cd6-18cda 18d09-18d20 18d80-18df2 18e00-19191 191a0-191d2 1b123-1b128 "
+    "1b168 1d6a6 1df1f-1df24 1df2b-1df81 1df90-1df96 1dfcd-1dfff 1e6c0-1e6de 1e6e0-1e6e2 1e6e4-1e6e5 1e6e7-1e6ed 1e6f0-1e6f4 1e6fe-1e6ff "
+    "2b73a-2b73f 2b81e 2cea2-2cead 323b0-33479 3d000-3fc3f"
+)
+LATER_NUMBERS = "11de0-11de9 1246f 12475-1247f 12550-12686 16ff4-16ff6"
+LATER_MARKS = (
+    "7fd 898-89f 8ca-8d3 9fe c3c d3b-d3c eba 1715 1abf-1ace 1df6-1dfa a82c 10d24-10d27 10eab-10eac 10efd-10eff 10f46-10f50 10f82-10f85 11070 1133b "
+    "1145e 11839-1183a 11930 1193d-1193e 11943 119e0 11a34 11a47 11a99 11d42 11d44-11d45 11d97 11f41-11f42 16ff0-16ff1 1e08f 1e130-1e136 1e2ae "
+    "1e2ec-1e2ef 1e4ec-1e4ef"
+)
+LATER_CAPITALS = {
+    0x1C89: 0x1C8A, 0xA7CB: 0x264, 0xA7CC: 0xA7CD, 0xA7CE: 0xA7CF, 0xA7D2: 0xA7D3, 0xA7D4: 0xA7D5, 0xA7DA: 0xA7DB, 0xA7DC: 0x19B,
+    **{c: c + 0x20 for c in range(0x10D50, 0x10D66)}, **{c: c + 0x1B for c in range(0x16EA0, 0x16EB9)},
+}
 
 
 def byte_alphabet() -> list[str]:
@@ -143,11 +161,27 @@ def open_end(text: str) -> int:
     return last.start() if last else 0
 
 
+def _class(ranges: str) -> str:
+    """Ranges of code points as the inside of a character class."""
+    return "".join("-".join(f"\\U{int(end, 16):08x}" for end in part.split("-")) for part in ranges.split())
+
+
+_FAR = re.compile("[\u0558-\u1fff\u2070-\u20a0\ua000-\U0010ffff]")  # all that follows is there; few texts are
+_LATER = re.compile(f"[{_class(LATER_MARKS)}{''.join(map(chr, LATER_CAPITALS))}]")
+_LATER_SIGNS = re.compile(f"[{_class(LATER_LETTERS + ' ' + LATER_NUMBERS)}]")
+_MARKS = re.compile(f"([{_class(LATER_MARKS)}])")
+LETTER = rf"[\p{{L}}--[{_class(LATER_LETTERS)}]]"
+DIGIT = rf"[\p{{N}}--[{_class(LATER_NUMBERS)}]]"
+
+
 def normal(text: str) -> str:
     """Composed and in lower case, character by character. White space only separates words, so its kind does not matter."""
-    if not text.isascii():
-        text = unicodedata.normalize("NFC", text).replace("\u03a3", "\u03c3")
-    return text.lower()
+    if text.isascii():
+        return text.lower()
+    if not (_FAR.search(text) and _LATER.search(text)):
+        return unicodedata.normalize("NFC", text).replace("\u03a3", "\u03c3").lower()
+    text = "".join(unicodedata.normalize("NFC", part) for part in _MARKS.split(text))
+    return text.replace("\u03a3", "\u03c3").lower().translate(LATER_CAPITALS)
 
 
 class Encoder:
@@ -161,11 +195,12 @@ class Encoder:
     def __init__(self, model: Model, piece: int = PIECE):
         self.model, self.piece, self.limit = model, piece, max(piece, 16)
         pattern = model.pattern.replace(r"\s", r"\p{White_Space}")
-        self.split = regex.compile(pattern, regex.V0)
+        self.usual = regex.compile(pattern, regex.V0)  # the same for texts without later letters and numbers, and faster
+        self.split = self.exact = regex.compile(pattern.replace(r"\p{L}", LETTER).replace(r"\p{N}", DIGIT), regex.V1)
         self.last_space = regex.compile(r"\p{White_Space}", regex.REVERSE)
         self.space = regex.compile(r"\p{White_Space}+")
         self.odd = re.compile("[\x1c-\x1f]")  # white space for str.split alone
-        self.runs = [regex.compile(r"\p{L}*"), regex.compile(r"[^\p{White_Space}\p{L}\p{N}]*")]
+        self.runs = [regex.compile(x, regex.V1) for x in (f"{LETTER}*", rf"[^\p{{White_Space}}{LETTER}{DIGIT}]*")]
         self.special = regex.compile("|".join(map(regex.escape, sorted(model.special, key=len, reverse=True))) or r"(?!)")
         self.special_hold = max(map(len, model.special), default=1) - 1
         self.special_first = {x[0] for x in model.special}
@@ -204,6 +239,7 @@ class Encoder:
         characters are known, which is as far as a contraction looks."""
         text, ids = self.open + normal(text), []
         self.open = ""
+        self.split = self.exact if not text.isascii() and _FAR.search(text) and _LATER_SIGNS.search(text) else self.usual
         if self.long:
             transducer, run = self.long
             end = run.match(text).end()

@@ -2,6 +2,7 @@
 
 import hashlib
 import random
+import unicodedata
 import re
 
 import pytest
@@ -147,6 +148,19 @@ def test_words_longer_than_the_lookahead(library, model):
         assert [i for p in again.encode(text) for i in p] == library.encode(text, add_special_tokens=False).ids
 
 
+def test_every_character_is_split_and_written_as_the_library_does(model, library):
+    encoder = bpe.Encoder(model)
+    points = [c for c in range(0x110000) if not 0xD800 <= c <= 0xDFFF]
+    marks = [c for c in points if unicodedata.combining(chr(c))]
+    r = random.Random(8)
+    texts = [" ".join(f"a{chr(c)}a {chr(c)}{chr(c)}1{chr(c)}" for c in points[at : at + 500]) for at in range(0, len(points), 500)]
+    texts += [" ".join("".join(r.choice("aeqo\u0391\U00011935") + "".join(chr(r.choice(marks)) for _ in range(3)) for _ in range(3)) for _ in range(200)) for _ in range(40)]
+    texts += ["".join(map(chr, (0x11935, 0x11930, 0x41, 0x301, 0x898, 0x323, 0x3A3)))]
+    for text in texts:
+        assert [i for ids in encoder.encode(text) for i in ids] == library.encode(text, add_special_tokens=False).ids
+
+
+
 def test_lookahead_of_small_merge_lists():
     assert bpe.lookahead([], "") == 1
     # "b" decides about "a" only once: a chain of one
