@@ -2,7 +2,7 @@
 
 A token is random where a model of random strings is so much likelier than the model of ordinary text. What is ordinary is learned
 from the words too short to be tokens, then, in rounds, from the tokens that the models so far take for ordinary; random are strings of
-equally likely characters, or such as the fixed patterns find. Every distinct token counts once, however often it is copied, and
+equally likely characters, such as the fixed patterns find, or hexadecimal with dashes. Every distinct token counts once, however often it is copied, and
 smoothing goes by shares of what was counted, so that neither copies nor the size of the table move the bounds.
 """
 
@@ -36,6 +36,9 @@ _CLASS[list(ALPHABET.encode())] = np.arange(1, STATES)
 
 # A random token is this many times likelier under a random model for each 16 characters, at least.
 MIN_RATIO = 1e4
+HEXADECIMAL = ("0123456789ABCDEF-", "0123456789abcdef-")  # what identifiers of random hexadecimal consist of
+DECIMAL = "0123456789-"  # dates and numbers of all kinds, which are not random for being hexadecimal too
+UNLIKELY = 1e-6  # of a character that a model does not have
 BACKOFF = 34  # pairs that each character counts as seen by chance
 SHARE = 0.1  # of an average character's pairs, which each character counts as seen by chance
 EVEN = 0.2  # of those, the share that all characters have alike in ordinary text
@@ -127,7 +130,15 @@ def _log_ratios(words: np.ndarray, plain: np.ndarray, random: np.ndarray) -> np.
     ordinary = ordinary + often * max(ordinary.sum(), even) / STATES
     ordinary = np.log(ordinary / ordinary.sum(axis=1, keepdims=True))
     random = random + (BACKOFF + SHARE * random.sum() / STATES) * even
-    return np.stack([np.log(even) - ordinary, np.log(random / random.sum(axis=1, keepdims=True)) - ordinary])
+    random = np.log(random / random.sum(axis=1, keepdims=True))
+    return np.stack([x - ordinary for x in (np.log(even), random, *map(_any_of, HEXADECIMAL), _any_of(DECIMAL))])
+
+
+def _any_of(characters: str) -> np.ndarray:
+    """Log probabilities of a model in which these characters, and the edge, are equally likely behind each other."""
+    chance = np.full((STATES, STATES), UNLIKELY)
+    chance[:, [0, *_CLASS[list(characters.encode())]]] = 1 / (len(characters) + 1)
+    return np.log(chance)
 
 
 def _token_pairs(tokens: DataFrame, label: int, ratios: np.ndarray | None = None) -> np.ndarray:
@@ -153,7 +164,8 @@ def _matrix(sums: DataFrame) -> np.ndarray:
 
 
 def train(docs: DataFrame, text: str = "text") -> np.ndarray:
-    """By pair of characters, the log ratios of equally likely characters and of the patterns' finds to ordinary text."""
+    """By pair of characters, the log ratios to ordinary text of equally likely characters, of the patterns' finds, of random
+    hexadecimal with dashes, and of numbers with dashes."""
     found = written(samples(docs, text), "secrets")
     words = _matrix(found.where("label = 2").select("pair", "n"))
     words[0], words[:, 0] = 0, 0  # words end sooner than tokens
@@ -172,9 +184,11 @@ def _repeats(token: str) -> float:
 
 
 def is_random(token: str, ratios: np.ndarray) -> bool:
-    """Whether one of the random models is likelier enough; a run of few characters, as of ``=``, is not random."""
+    """Whether one of the random models is likelier enough than ordinary text, and the hexadecimal ones than numbers; a run of few
+    characters, as of ``=``, is not random."""
     enough = np.log(MIN_RATIO) * len(token) / MIN_TOKEN
-    return float(ratios.reshape(len(ratios), -1)[:, _pairs(token)].sum(axis=1).max()) >= enough > _repeats(token)
+    even, random, *hexadecimal, decimal = ratios.reshape(len(ratios), -1)[:, _pairs(token)].sum(axis=1).tolist()
+    return max(even, random, *(h - max(decimal, 0) for h in hexadecimal)) >= enough > _repeats(token)
 
 
 def all_spans(text: str, ratios: np.ndarray) -> list[tuple[int, int, int]]:
@@ -190,10 +204,10 @@ def listed(spans: list[tuple[int, int, int]]) -> str:
 
 
 def scan(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """One row per document: doc_id, n_assign, n_access, n_hex, n_random, base_sha256, spans.
+    """One row per document: doc_id, n_assign, n_access, n_hex, base_sha256, spans, n_random.
 
     Spans are ``kind:start:end`` in code points, end exclusive, by start and then kind. A null text is an empty one.
-    Repeated rows stay repeated, rows without doc_id are scanned like others.
+    Repeated rows stay repeated, rows without doc_id are scanned like others, and texts of any length as a whole.
     """
     docs = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
     ratios = docs.sparkSession.sparkContext.broadcast(train(docs))
@@ -203,12 +217,12 @@ def scan(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFra
         counts = [pa.array([sum(k == kind for _, k, _ in s) for s in found], pa.int64()) for kind in range(4)]
         base = [hashlib.sha256(listed([s for s in f if s[1] < 3]).encode()).hexdigest() for f in found]
         return pa.RecordBatch.from_arrays(
-            [batch.column(0), *counts, pa.array(base, pa.string()), pa.array([listed(f) for f in found], pa.string())],
-            names=["doc_id", "n_assign", "n_access", "n_hex", "n_random", "base_sha256", "spans"],
+            [batch.column(0), *counts[:3], pa.array(base, pa.string()), pa.array([listed(f) for f in found], pa.string()), counts[3]],
+            names=["doc_id", "n_assign", "n_access", "n_hex", "base_sha256", "spans", "n_random"],
         )
 
     kind = dict(docs.dtypes)["doc_id"]
-    return map_batches(docs, f"doc_id {kind}, n_assign long, n_access long, n_hex long, n_random long, base_sha256 string, spans string", rows)
+    return map_batches(docs, f"doc_id {kind}, n_assign long, n_access long, n_hex long, base_sha256 string, spans string, n_random long", rows)
 
 
 def masked(text: str, spans: list[tuple[int, int, int]], placeholder: str = PLACEHOLDER) -> str:

@@ -1,10 +1,12 @@
 """Secrets, BPE and decontamination against brute force."""
 
 import hashlib
+import math
 import random
-import unicodedata
 import re
+import unicodedata
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -87,6 +89,66 @@ def test_random_strings_are_found_among_many_and_in_copies(spark, corpus):
         assert not any(n for i, _, n in got if i is None or i < 0)
 
 
+def test_identifiers_of_random_hexadecimal_are_found_and_numbers_are_not(spark, corpus):
+    r = random.Random(9)
+    uuid = lambda: "-".join("".join(r.choice("0123456789abcdef") for _ in range(n)) for n in (8, 4, 4, 4, 12))
+    number = lambda n: "".join(r.choice("0123456789") for _ in range(n))
+    found = [uuid().upper() if i % 2 else uuid() for i in range(100)]
+    plain = [f"2024-{number(2)}-{number(2)}-{number(2)}-{number(2)}-{number(2)}" for _ in range(40)] + [f"{number(3)}-{number(1)}-{number(5)}-{number(4)}-{number(1)}" for _ in range(40)]
+    rows = [*corpus, *(f"id {x} here" for x in found + plain)]
+    docs = spark.createDataFrame(list(enumerate(rows)), "doc_id LONG, text STRING")
+    got = {x.doc_id - len(corpus): x for x in secrets.scan(docs).collect()}
+    assert sum(got[i].spans == "random:3:39" for i in range(100)) >= 98
+    assert not any(got[100 + i].n_random for i in range(len(plain)))
+    assert secrets.scan(docs).columns[:6] == ["doc_id", "n_assign", "n_access", "n_hex", "base_sha256", "spans"]
+
+
+def test_ratios_by_hand():
+    """The models recomputed with dictionaries: shares of pairs, smoothing, and the sums along a token."""
+    words, plain, drawn = ["the", "thing", "station"], ["the-erring-thing-", "stations_of_the_"], ["x9Q2", "Qx29"]
+
+    def count(texts, edges):
+        pairs = {}
+        for t in texts:
+            t = ["", *t, ""] if edges else list(t)
+            for ab in zip(t, t[1:]):
+                pairs[ab] = pairs.get(ab, 0) + 1
+        return pairs
+
+    size = len(secrets.ALPHABET) + 1
+    states = ["", *secrets.ALPHABET]
+    w, p, d = count(words, False), count(plain, True), count(drawn, True)
+    raw = {(a, b): w.get((a, b), 0) / sum(w.values()) + p.get((a, b), 0) / (sum(p.values()) + 34 * size) for a in states for b in states}
+    total = sum(raw.values())
+    column = {b: sum(raw[a, b] for a in states) / total for b in states}
+    ordinary = {ab: n + 0.1 * (0.2 / size + 0.8 * column[ab[1]]) * total / size for ab, n in raw.items()}
+    rows = {a: sum(ordinary[a, b] for b in states) for a in states}
+    random_ = {ab: d.get(ab, 0) + (34 + 0.1 * sum(d.values()) / size) / size for ab in ordinary}
+    sums = {a: sum(random_[a, b] for b in states) for a in states}
+
+    def matrix(pairs):
+        out = np.zeros((size, size))
+        for (a, b), n in pairs.items():
+            out[states.index(a), states.index(b)] = n
+        return out
+
+    ratios = secrets._log_ratios(matrix(w), matrix(p), matrix(d))
+    for token in ("the-station-thing", "Qx29Qx29Qx29Qx29x", "0123-4567-89AB-CDEF", "zzzzzzzzzzzzzzzzzz"):
+        pairs = list(zip(["", *token], [*token, ""]))
+        plainly = sum(math.log(ordinary[a, b] / rows[a]) for a, b in pairs)
+        hexes = [sum(math.log(1 / 18 if b == "" or b in x else 1e-6) for _, b in pairs) for x in ("0123456789ABCDEF-", "0123456789abcdef-")]
+        digits = sum(math.log(1 / 12 if b == "" or b in "0123456789-" else 1e-6) for _, b in pairs)
+        want = [len(pairs) * math.log(1 / size), sum(math.log(random_[a, b] / sums[a]) for a, b in pairs), *hexes, digits]
+        got = ratios.reshape(len(ratios), -1)[:, secrets._pairs(token)].sum(axis=1)
+        assert np.allclose(got, np.array(want) - plainly)
+        best = max(got[0], got[1], got[2] - max(got[4], 0), got[3] - max(got[4], 0))
+        seen, own = {}, 0.0
+        for n, c in enumerate(token):
+            seen[c] = seen.get(c, 0) + 1
+            own += math.log(seen[c]) - math.log1p(n / size)
+        assert secrets.is_random(token, ratios) == (best >= math.log(1e4) * len(token) / 16 > own)
+
+
 def test_redaction_replaces_spans_and_keeps_the_rest(spark, corpus):
     rows = [(1, "a token=abcdefghijkl0 b", 23, "t"), (2, None, None, "t"), (3, "clean", 5, "t"), (3, "clean", 5, "t"), (None, "password: 0123456789abcdef0", 27, "t")]
     docs = spark.createDataFrame(rows, "doc_id LONG, text STRING, n_chars LONG, spans STRING")
