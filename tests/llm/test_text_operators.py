@@ -323,11 +323,11 @@ def test_contamination_in_one_block_and_in_many(spark, passages, block):
     docs, items = passages
     d = spark.createDataFrame([(*x, 1) for x in docs], "doc_id LONG, text STRING, n_hit INT")
     b = spark.createDataFrame([(*x, "s") for x in items], "item_id LONG, text STRING, win STRING")
-    got = decontaminate.contamination(d, b, block_windows=block)
+    got = decontaminate.contamination(d, b, index_windows=block)
     assert got.columns == ["doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated"]
     want = brute_contamination(docs, items)
     assert sorted(map(tuple, got.collect()), key=str) == want
-    clean = decontaminate.without_benchmark(d, b, block_windows=block)
+    clean = decontaminate.without_benchmark(d, b, index_windows=block)
     assert clean.columns == d.columns
     assert sorted(map(str, (r.doc_id for r in clean.collect()))) == sorted(str(w[0]) for w in want if not w[5])
 
