@@ -37,7 +37,9 @@ def region_decision_monthly(spark, sf):
 )
 def region_decision_latest(spark, sf):
     m = monthly(spark, sf)
-    out = boards.region_decision_latest(boards.region_decision_monthly(m, names(spark, sf)), m)
+    # The newest month is looked up in the trades: the mart is not written here, and would be computed once more for it.
+    valued = trades(spark, sf).where("ppsqm_krw IS NOT NULL")
+    out = boards.region_decision_latest(boards.region_decision_monthly(m, names(spark, sf)), valued)
     return rounded(out, **BOARD_DIGITS)
 
 
@@ -147,8 +149,7 @@ PREMIUM_DIGITS = {
 
 @check("complex_premium_latest", _premium_sql(3))
 def complex_premium_latest(spark, sf):
-    t = trades(spark, sf)
-    out = boards.complex_premium_latest(marts.complex_monthly_median(t), monthly(spark, sf), names(spark, sf))
+    out = boards.complex_premium_from_trades(trades(spark, sf), names(spark, sf))
     return rounded(out, **PREMIUM_DIGITS)
 
 
@@ -174,7 +175,7 @@ def j3_premium_all_complexes(spark, sf):
     ),
 )
 def complex_gap_12m(spark, sf):
-    out = boards.complex_gap_12m(buckets(spark, sf), last12m(spark, sf), names(spark, sf))
+    out = boards.complex_gap_from_trades(trades(spark, sf), names(spark, sf), bucket=F.col("bucket"))
     return rounded(
         out, complex_weighted_ppsqm_12m=4, region_weighted_ppsqm_12m=4, gap_ratio_12m=6, gap_diff_krw_12m=4
     )

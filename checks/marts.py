@@ -263,3 +263,19 @@ def j2_region_name(spark, sf):
     from hanok.operators.joins import with_region_name
 
     return with_region_name(last12m(spark, sf), names(spark, sf)).select("sggcd", "region_ko", F.col("trades_12m").alias("trades"))
+
+
+@check(
+    "all_mart_medians",
+    sql(
+        """SELECT 'region_month' AS grain, sggcd, deal_month_date, NULL::VARCHAR AS aptseq, NULL::VARCHAR AS aptnm, NULL::VARCHAR AS area_bucket,
+            round(price, 4) AS median_ppsqm_krw, trades FROM region_month
+        UNION ALL SELECT 'complex_month', sggcd, deal_month_date, aptseq, aptnm, NULL, round(price, 4), trades FROM complex_month
+        UNION ALL SELECT 'region_year', sggcd, NULL, NULL, NULL, NULL, round(price, 4), trades FROM region_year
+        UNION ALL SELECT 'bucket_year', sggcd, NULL, aptseq, aptnm, bucket, round(price, 4), trades FROM bucket_year""",
+        "region_month", "complex_month", "region_year", "bucket_year",
+    ),
+)
+def all_mart_medians(spark, sf):
+    """The medians of all marts from one histogram."""
+    return rounded(marts.all_medians(trades(spark, sf), F.col("bucket")), median_ppsqm_krw=4)

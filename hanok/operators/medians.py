@@ -43,7 +43,33 @@ def split_median(rows: DataFrame, keys: Sequence[str], value: str, median_name:
     """
     keys = list(keys)
     counted = rows.groupBy(*keys, F.col(value).alias("_v"), value_bucket(value).alias("_b")).agg(F.count(F.lit(1)).alias("_n"))
+    return _median_of_counts(counted, keys, median_name, count_name)
 
+
+def medians_by_grain(
+    rows: DataFrame, grains: dict[str, tuple[Sequence[str], Column | None]], value: Column, median_name: str, count_name: str
+) -> DataFrame:
+    """Exact medians of several groupings at once, from one reading of ``rows``: ``grain``, all keys (null where a grain lacks one),
+    the median and the count.
+
+    ``grains`` names each grouping's keys and, if not all rows belong to it, a condition on keys. Values are counted once, at the
+    finest grouping, and these counts are rolled up to all others.
+    """
+    every = list(dict.fromkeys(k for keys, _ in grains.values() for k in keys))
+    narrow = rows.select(*every, value.cast("double").alias("_v")).where(F.col("_v").isNotNull())
+    kinds = dict(narrow.dtypes)
+    finest = narrow.groupBy(*every, "_v", value_bucket("_v").alias("_b")).agg(F.count(F.lit(1)).alias("_n"))
+
+    def at(name: str, keys: Sequence[str]) -> Column:
+        return F.struct(F.lit(name).alias("grain"), *[(F.col(k) if k in keys else F.lit(None).cast(kinds[k])).alias(k) for k in every])
+
+    all_of = F.array_compact(F.array(*[at(name, keys) if holds is None else F.when(holds, at(name, keys)) for name, (keys, holds) in grains.items()]))
+    counted = finest.select(F.explode(all_of).alias("_g"), "_v", "_b", "_n").select("_g.*", "_v", "_b", "_n")
+    return _median_of_counts(counted, ["grain", *every], median_name, count_name)
+
+
+def _median_of_counts(counted: DataFrame, keys: list[str], median_name: str, count_name: str) -> DataFrame:
+    """Medians of values (``_v``) that occur ``_n`` times in buckets ``_b``."""
     buckets = counted.groupBy(*keys, "_b").agg(F.sum("_n").alias("_bn"))
     in_group = Window.partitionBy(*keys)
     ranked = buckets.select(
@@ -63,7 +89,8 @@ def split_median(rows: DataFrame, keys: Sequence[str], value: str, median_name:
 
     same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_m_{k}")) for k in keys])
     in_bucket = Window.partitionBy(*keys, "_b").orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)
-    placed = counted.join(middle, same & (F.col("_b") == F.col("_mb"))).select(
+    # Null-safe throughout: a plain comparison would put a filter below the counting, and it would run once more.
+    placed = counted.join(middle, same & F.col("_b").eqNullSafe(F.col("_mb"))).select(
         *keys, "_v", "_total", "_low", "_high",
         (F.col("_before") + F.sum("_n").over(in_bucket)).alias("_rank"),
     )

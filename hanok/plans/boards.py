@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from hanok.functions import scoring
 from hanok.operators.joins import latest_only, with_region_name
 from hanok.operators.medians import approximate_median
 from hanok.operators.timeseries import price_features
+from hanok.plans import marts
 
 # The board's columns in order.
 BOARD_COLUMNS = (
@@ -40,7 +41,7 @@ def region_decision_monthly(monthly: DataFrame, names: DataFrame) -> DataFrame:
 
 
 def region_decision_latest(board: DataFrame, monthly: DataFrame, min_trades: int = 5) -> DataFrame:
-    """The board's newest month, regions with enough trades. The month is looked up in the mart."""
+    """The board's newest month, regions with enough trades. The month is looked up in ``monthly``: the mart, or the trades behind it."""
     return latest_only(board, "deal_month_date", monthly).where(F.col("trades") >= min_trades)
 
 
@@ -98,6 +99,28 @@ def complex_premium_latest(
         "sggcd", F.col("median_ppsqm_krw").alias("region_median_ppsqm_krw")
     )
     both = ours.join(region, "sggcd", "left").where(F.col("region_median_ppsqm_krw").isNotNull())
+    return _premium(both, names)
+
+
+def complex_premium_from_trades(trades: DataFrame, names: DataFrame, min_trades: int = 3) -> DataFrame:
+    """The same from the trades of the newest month, where no mart is written: both medians come from one histogram."""
+    grains = {"complex": (("aptseq", "aptnm", "sggcd", "deal_month_date"), 1), "region": (("sggcd", "deal_month_date"), 1)}
+    found = marts.all_medians(trades.withColumn("area", F.lit(None).cast("double")), grains=grains)
+    both = _beside_region(found, "median_ppsqm_krw").select(
+        "deal_month_date", "sggcd", "aptseq", "aptnm", F.col("median_ppsqm_krw").alias("complex_median_ppsqm_krw"),
+        F.col("trades").alias("complex_trades"), F.col("_region").alias("region_median_ppsqm_krw"),
+    )
+    return _premium(both.where(F.col("complex_trades") >= min_trades), names)
+
+
+def _beside_region(found: DataFrame, median: str) -> DataFrame:
+    """The finer grain's rows with their region's median as ``_region``, without a join of the medians with themselves."""
+    region = Window.partitionBy("sggcd")
+    of_region = F.max(F.when(F.col("grain") == "region", F.col(median))).over(region)
+    return found.withColumn("_region", of_region).where((F.col("grain") != "region") & F.col("_region").isNotNull())
+
+
+def _premium(both: DataFrame, names: DataFrame) -> DataFrame:
     price, base = F.col("complex_median_ppsqm_krw"), F.col("region_median_ppsqm_krw")
     return with_region_name(both, names).select(
         "deal_month_date", "sggcd", "region_ko", "aptseq", "aptnm",
@@ -122,6 +145,22 @@ def complex_gap_12m(
         .join(region, "sggcd", "left")
         .where(F.col("region_weighted_ppsqm_12m").isNotNull())
     )
+    return _gap(both, names)
+
+
+def complex_gap_from_trades(trades: DataFrame, names: DataFrame, min_trades: int = 10, bucket: Column | None = None) -> DataFrame:
+    """The same from the trades of the newest twelve months, where no mart is written: both medians come from one histogram."""
+    grains = {"complex": (("aptseq", "aptnm", "sggcd", "area_bucket"), 12), "region": (("sggcd",), 12)}
+    found = _beside_region(marts.all_medians(trades, bucket, grains), "median_ppsqm_krw")
+    both = found.groupBy("aptseq", "aptnm", "sggcd").agg(
+        scoring.weighted_mean(F.col("median_ppsqm_krw"), F.col("trades")).alias("complex_weighted_ppsqm_12m"),
+        F.sum("trades").alias("complex_trades_12m"),
+        F.max("_region").alias("region_weighted_ppsqm_12m"),
+    )
+    return _gap(both.where(F.col("complex_trades_12m") >= min_trades), names)
+
+
+def _gap(both: DataFrame, names: DataFrame) -> DataFrame:
     price, base = F.col("complex_weighted_ppsqm_12m"), F.col("region_weighted_ppsqm_12m")
     return with_region_name(both, names).select(
         "sggcd", "region_ko", "aptseq", "aptnm", "complex_weighted_ppsqm_12m", "region_weighted_ppsqm_12m",

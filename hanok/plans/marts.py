@@ -6,11 +6,13 @@ area`` and ``ppsqm_krw``, the price per square metre.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from hanok.functions import dates, text
 from hanok.functions.scoring import ratio
-from hanok.operators.medians import grouped_median
+from hanok.operators.medians import grouped_median, medians_by_grain
 
 # Upper edges of the area buckets in square metres.
 AREA_EDGES = (60, 85, 135)
@@ -125,6 +127,42 @@ def complex_bucket_12m(trades: DataFrame, bucket: Column | None = None) -> DataF
     )
 
 
+# What the marts group by, and over how many of the newest months.
+GRAINS = {
+    "region_month": (("sggcd", "deal_month_date"), 180),
+    "complex_month": (("aptseq", "aptnm", "sggcd", "deal_month_date"), 120),
+    "region_year": (("sggcd",), 12),
+    "bucket_year": (("aptseq", "aptnm", "sggcd", "area_bucket"), 12),
+}
+
+
+def all_medians(trades: DataFrame, bucket: Column | None = None, grains: dict[str, tuple[Sequence[str], int]] = GRAINS) -> DataFrame:
+    """Medians and trades of every grain together: grain, its keys, median_ppsqm_krw, trades.
+
+    Trades are read for the newest month and once more for all medians.
+    """
+    end, widest = last_month_of(trades), max(months for _, months in grains.values())
+    rows = within_months(trades, widest, end).withColumn("area_bucket", area_bucket(F.col("area")) if bucket is None else bucket)
+    # Of the grains over fewer months, those months; one of the others then has the month among its keys.
+    newest = lambda months: None if months == widest else F.col("deal_month_date") > F.add_months(end, -months)
+    chosen = {name: (keys, newest(months)) for name, (keys, months) in grains.items()}
+    return medians_by_grain(rows, chosen, F.col("ppsqm_krw"), "median_ppsqm_krw", "trades")
+
+
+def marts_of(found: DataFrame) -> dict[str, DataFrame]:
+    """The four marts, each with its own columns, from ``all_medians``."""
+    grain = lambda name: found.where(F.col("grain") == name)
+    year = (F.col("median_ppsqm_krw").alias("median_ppsqm_krw_12m"), F.col("trades").alias("trades_12m"))
+    month = ("median_ppsqm_krw", "trades")
+    parts = (F.year("deal_month_date").alias("deal_year"), F.month("deal_month_date").alias("deal_month"))
+    return {
+        "region_monthly_stats": grain("region_month").select("sggcd", "deal_month_date", *parts, *month),
+        "complex_monthly_median": grain("complex_month").select("aptseq", "aptnm", "sggcd", "deal_month_date", *month),
+        "region_last12m": grain("region_year").select("sggcd", *year),
+        "complex_bucket_12m": grain("bucket_year").select("aptseq", "aptnm", "sggcd", "area_bucket", *year),
+    }
+
+
 def region_month_names(features: DataFrame, since_year: int = 2024) -> DataFrame:
     """The last name in order of every region and month that has a non-blank one.
 
