@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from checks.marts import buckets, last12m, monthly
 from checks.registry import check, names, rounded, sql, trades
 from hanok.functions import scoring
+from hanok.operators import sketches
 from hanok.operators.joins import latest_only
 from hanok.plans import boards, marts
 from hanok.plans.refresh import board_catalog
@@ -261,3 +262,32 @@ def f10_gap_to_mean(spark, sf):
         "sggcd", "deal_month_date", scoring.ratio(price, mean).alias("ratio"), (price - mean).alias("diff")
     )
     return rounded(out, ratio=6, diff=4)
+
+
+@check(
+    "a4_quantiles_from_sketches",
+    sql(
+        """SELECT 'nation' AS grain, NULL::VARCHAR AS sggcd, CAST(year(deal_month_date) AS INTEGER) AS year, count(*) AS trades, TRUE AS within_bound FROM trade, newest
+            WHERE deal_month_date > newest.m - INTERVAL 180 MONTH GROUP BY 3
+        UNION ALL SELECT 'region', sggcd, NULL, count(*), TRUE FROM trade, newest WHERE deal_month_date > newest.m - INTERVAL 180 MONTH GROUP BY 2""",
+        "trade", "newest",
+    ),
+)
+def a4_quantiles_from_sketches(spark, sf):
+    """Quartiles of years and of regions from one set of sketches, and whether their ranks among all trades are within the stated error."""
+    t = trades(spark, sf)
+    made = marts.price_sketches(t)
+    kept = marts.within_months(t, 180).select("sggcd", F.year("deal_month_date").alias("year"), "ppsqm_krw")
+    error = 2 * sketches.rank_error()
+
+    def judged(key, grain):
+        found = boards.price_quantiles(made.withColumn("year", F.year("deal_month_date")), key)
+        ranks = kept.join(found, key).groupBy(key, "trades").agg(
+            *[F.avg((F.col("ppsqm_krw") < F.col(q)).cast("int")).alias(f"{q}_below") for q in boards.QUARTERS],
+            *[F.avg((F.col("ppsqm_krw") <= F.col(q)).cast("int")).alias(f"{q}_upto") for q in boards.QUARTERS],
+        )
+        near = [(F.col(f"{q}_below") - error <= share) & (share <= F.col(f"{q}_upto") + error) for q, share in boards.QUARTERS.items()]
+        sggcd, year = (F.col(c) if c == key else F.lit(None).cast(k) for c, k in (("sggcd", "string"), ("year", "int")))
+        return ranks.select(F.lit(grain).alias("grain"), sggcd.alias("sggcd"), year.alias("year"), "trades", (near[0] & near[1] & near[2]).alias("within_bound"))
+
+    return judged("year", "nation").unionByName(judged("sggcd", "region"))

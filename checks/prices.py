@@ -419,3 +419,20 @@ def j9_month_end_range_join(spark, sf):
 def f23_month_frames(spark, sf):
     span = trades(spark, sf).agg(F.date_add(F.min("date"), 3).alias("lo"), F.date_sub(F.max("date"), 5).alias("hi"))
     return span.select(F.inline(pc.month_frames(F.col("lo"), F.col("hi"))))
+
+
+@check("w9_rank_of_every_price", sql(
+    "SELECT price AS deal_amount, CAST(dense_rank() OVER (ORDER BY price) - 1 AS INTEGER) AS rank FROM (SELECT DISTINCT price FROM trade)", "trade"))
+def w9_rank_of_every_price(spark, sf):
+    """Distinct prices with their ranks, counted in buckets."""
+    return ranked_values(trades(spark, sf), "deal_amount", "rank")
+
+
+@check("w9_rank_of_names_and_days", sql(
+    """SELECT 'name' AS what, aptnm AS value, CAST(dense_rank() OVER (ORDER BY aptnm) - 1 AS INTEGER) AS rank FROM (SELECT DISTINCT aptnm FROM trade)
+        UNION ALL SELECT 'day', CAST(deal_date AS VARCHAR), CAST(dense_rank() OVER (ORDER BY deal_date) - 1 AS INTEGER) FROM (SELECT DISTINCT deal_date FROM trade)""",
+    "trade"))
+def w9_rank_of_names_and_days(spark, sf):
+    t = trades(spark, sf)
+    ranks = [ranked_values(t, c, "rank").select(F.lit(what).alias("what"), F.col(c).cast("string").alias("value"), "rank") for what, c in (("name", "aptnm"), ("day", "deal_date"))]
+    return ranks[0].unionByName(ranks[1])

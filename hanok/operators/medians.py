@@ -21,15 +21,16 @@ def grouped_median(rows: DataFrame, keys: Sequence[str], value: Column, median_n
     return split_median(narrow, keys, "_v", median_name, count_name)
 
 
-def value_bucket(value: str) -> Column:
+def value_bucket(value: str | Column) -> Column:
     """A whole number that grows with the value, zero at zero and finer than any price band needs; its ends hold what is not finite."""
-    size = F.floor(F.log1p(F.abs(F.col(value))) * F.lit(BUCKETS_PER_LOG))
+    v = F.col(value) if isinstance(value, str) else value
+    size = F.floor(F.log1p(F.abs(v)) * F.lit(BUCKETS_PER_LOG))
     top = 1 << 40
     return (
-        F.when(F.isnan(value), F.lit(top + 1))
-        .when(F.col(value) == float("inf"), F.lit(top))
-        .when(F.col(value) == float("-inf"), F.lit(-top))
-        .otherwise((F.signum(value) * size).try_cast("long"))
+        F.when(F.isnan(v), F.lit(top + 1))
+        .when(v == float("inf"), F.lit(top))
+        .when(v == float("-inf"), F.lit(-top))
+        .otherwise((F.signum(v) * size).try_cast("long"))
     )
 
 

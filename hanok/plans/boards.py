@@ -7,6 +7,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from hanok.functions import scoring
 from hanok.operators.joins import latest_only, with_region_name
 from hanok.operators.medians import approximate_median
+from hanok.operators.sketches import merged, quantiles
 from hanok.operators.timeseries import price_features
 from hanok.plans import marts
 
@@ -73,6 +74,14 @@ def national_monthly_price(monthly: DataFrame) -> DataFrame:
     )
 
 
+QUARTERS = {"price_p25": 0.25, "price_p50": 0.5, "price_p75": 0.75}
+
+
+def price_quantiles(price_sketches: DataFrame, *by: str | Column) -> DataFrame:
+    """Quartiles of the price per square metre and trades of any grouping of regions and months, from the sketch mart alone."""
+    return quantiles(merged(price_sketches, by), QUARTERS).withColumnRenamed("n", "trades")
+
+
 def monthly_trades(monthly: DataFrame) -> DataFrame:
     return monthly.groupBy("deal_month_date").agg(F.sum("trades").alias("trades"))
 

@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from hanok.functions import dates, text
 from hanok.functions.scoring import ratio
 from hanok.operators.medians import grouped_median, medians_by_grain
+from hanok.operators.sketches import value_sketches
 
 # Upper edges of the area buckets in square metres.
 AREA_EDGES = (60, 85, 135)
@@ -183,6 +184,11 @@ def region_names(features: DataFrame, since_year: int = 2024) -> DataFrame:
     return newest_names(region_month_names(features, since_year))
 
 
+def price_sketches(trades: DataFrame, months: int = 180) -> DataFrame:
+    """A sketch of the prices per square metre per region and month: sggcd, deal_month_date, sketch, n."""
+    return value_sketches(within_months(trades, months), ["sggcd", "deal_month_date"], F.col("ppsqm_krw"))
+
+
 def reconcile(mart: DataFrame, trades: DataFrame, months: int) -> DataFrame:
     """Mart against source per month: trades counted in each, and their difference."""
     source = (

@@ -93,7 +93,7 @@ def daily_sync(
 
 
 build_marts = monthly.build_marts
-MART_TABLES = ("region_monthly_stats", "complex_monthly_median", "region_last12m", "complex_bucket_12m", "region_names")
+MART_TABLES = ("region_monthly_stats", "complex_monthly_median", "region_last12m", "complex_bucket_12m", "region_names", "price_sketches")
 
 
 def board_catalog(sources: dict[str, DataFrame]) -> DatasetCatalog:
@@ -103,6 +103,7 @@ def board_catalog(sources: dict[str, DataFrame]) -> DatasetCatalog:
     catalog.define("region_decision_latest", ("region_decision_monthly", "region_monthly_stats"), boards.region_decision_latest)
     catalog.define("national_signal_trend", ("region_decision_monthly",), boards.national_signal_trend)
     catalog.define("national_monthly_price", ("region_monthly_stats",), boards.national_monthly_price)
+    catalog.define("national_price_quantiles", ("price_sketches",), lambda s: boards.price_quantiles(s, "deal_month_date"))
     catalog.define("monthly_trades", ("region_monthly_stats",), boards.monthly_trades)
     catalog.define("latest_month_trades", ("region_monthly_stats",), boards.latest_month_trades)
     catalog.define("region_last12_named", ("region_last12m", "region_names"), boards.region_last12_named)
