@@ -1,7 +1,7 @@
 """Licences of files: sparse TF-IDF cosine to templates, then inheritance from the nearest directory above.
 
 Every line of a file, and every stretch of as many words as a template has, is a vector of its words' weights, and its cosine with a
-template's vector says whether it states that licence. SPDX tags state what they name. A licence file passes its licence to the files
+template's vector says whether it states that licence. SPDX tags state the licences they name, or the expression of them. A licence file passes its licence to the files
 of its directory and of those below that state none themselves.
 """
 
@@ -49,13 +49,34 @@ TEMPLATES = (
     ("BSD-3-Clause", "Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission"),
 )
 _WORD = re.compile(r"[^\W_]+")
-_SPDX = re.compile(r"SPDX-License-Identifier:[\s(]*([A-Za-z0-9][A-Za-z0-9.-]*)")
+_SPDX = re.compile(r"SPDX-License-Identifier:[ \t(]*([A-Za-z0-9][A-Za-z0-9.+-]*(?:[ \t()]+(?:AND|OR|WITH)[ \t(]+[A-Za-z0-9][A-Za-z0-9.+-]*)*)")
+# Licences that a tag may name, without -only and -or-later, and exceptions behind WITH.
+SPDX_NAMES = frozenset(
+    "0BSD AFL-3.0 AGPL-1.0 AGPL-3.0 Apache-1.0 Apache-1.1 Apache-2.0 APSL-2.0 Artistic-1.0 Artistic-2.0 BlueOak-1.0.0 BSD-1-Clause BSD-2-Clause "
+    "BSD-2-Clause-Patent BSD-3-Clause BSD-3-Clause-Clear BSD-4-Clause BSL-1.0 BUSL-1.1 CC-BY-1.0 CC-BY-2.0 CC-BY-2.5 CC-BY-3.0 CC-BY-4.0 CC-BY-NC-3.0 "
+    "CC-BY-NC-4.0 CC-BY-NC-ND-4.0 CC-BY-NC-SA-4.0 CC-BY-ND-4.0 CC-BY-SA-3.0 CC-BY-SA-4.0 CC0-1.0 CDDL-1.0 CDDL-1.1 CECILL-2.1 CPL-1.0 ECL-2.0 EPL-1.0 "
+    "EPL-2.0 EUPL-1.1 EUPL-1.2 GFDL-1.1 GFDL-1.2 GFDL-1.3 GPL-1.0 GPL-2.0 GPL-3.0 HPND IJG Intel IPL-1.0 ISC LGPL-2.0 LGPL-2.1 LGPL-3.0 LPPL-1.3c "
+    "MIT MIT-0 MPL-1.0 MPL-1.1 MPL-2.0 MS-PL MS-RL MulanPSL-2.0 NCSA ODbL-1.0 OFL-1.0 OFL-1.1 OpenSSL OSL-3.0 PDDL-1.0 PHP-3.01 PostgreSQL "
+    "Python-2.0 QPL-1.0 Ruby Sleepycat SSPL-1.0 Unicode-3.0 Unicode-DFS-2016 Unlicense UPL-1.0 Vim W3C WTFPL X11 Zlib ZPL-2.1 "
+    "Autoconf-exception-3.0 Classpath-exception-2.0 GCC-exception-3.1 Linux-syscall-note LLVM-exception OpenSSL-exception".split()
+)
 
 
 def words(line: str) -> list[str]:
     return _WORD.findall(line.lower())
 
 
+def tagged(text: str) -> list[str]:
+    """Licences that SPDX tags in ``text`` state, expressions as they are but without brackets; a tag with an unknown name states none."""
+    found = []
+    for m in _SPDX.finditer(text):
+        parts = [re.sub(r"(-only|-or-later|[.+-])$", "", x) for x in m[1].replace("(", " ").replace(")", " ").split()]
+        names = [x if x in SPDX_NAMES else re.sub(r"[.-]+$", "", x) for x in parts[::2]]
+        if all(x in SPDX_NAMES or x.startswith("LicenseRef-") for x in names):
+            found.append(" ".join(x for pair in zip(names, [*parts[1::2], ""]) for x in pair).strip())
+    return found
+
+
 class Weights:
     """Template vectors, from how many of the lines have each word of ``counts``; any other word is in ``most`` lines at most."""
 
@@ -101,9 +122,7 @@ class Weights:
 
     def judge(self, text: str) -> tuple[tuple[float, str] | None, list[tuple]]:
         """The nearest licence as (cosine, name), of equals the first by name, and what may be nearer by words whose weights are not here."""
-        exact, open_ = [], {}
-        for m in _SPDX.finditer(text):
-            exact.append((1.0, re.sub(r"(-only|-or-later|[.-])$", "", m[1])))
+        exact, open_ = [(1.0, name) for name in tagged(text)], {}
         lines = [words(line) for line in text.split("\n")]
         found = [w for line in lines for w in line]
         if not self.seek.isdisjoint(found):
@@ -200,7 +219,8 @@ def licences(files: DataFrame, licence_names: str = r"(?i)(^|/)(licen[sc]e|copyi
 
     ``origin`` is ``own`` (a line states it), ``inherited`` (the nearest directory at or above the file has a licence file that states
     it) or ``none``. Of several licence files in a directory the one with the highest cosine counts, then the first licence by name.
-    Null texts state nothing; a null path is in no directory and inherits nothing. Repeated rows stay repeated.
+    Null and empty texts state nothing; a null path is in no directory and inherits nothing. Repeated rows stay repeated. Texts of any
+    length are read whole.
 
     Directories meet, not files: every distinct directory looks at those above it, as many as its path has parts, and files then take
     their directory's finding.

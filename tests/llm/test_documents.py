@@ -162,29 +162,54 @@ def test_weights_of_words_beyond_the_commonest(spark, monkeypatch):
     assert cosine() == want and want[0][0] == "MIT"
 
 
-def test_cosines_of_all_lines_by_hand(spark):
+def test_spdx_expressions_and_names():
+    tag = "SPDX-License-Identifier: "
+    cases = {
+        "MIT OR Apache-2.0": ["MIT OR Apache-2.0"], "(MIT AND BSD-3-Clause)": ["MIT AND BSD-3-Clause"], "GPL-2.0-or-later WITH Classpath-exception-2.0.": ["GPL-2.0 WITH Classpath-exception-2.0"],
+        "Zlib.": ["Zlib"], "GPL-3.0+": ["GPL-3.0"], "none of these": [], "MIT OR nothing": [], "LicenseRef-own": ["LicenseRef-own"], "MIT\nOR BSD": ["MIT"],
+    }
+    assert {t: licenses.tagged(f"# {tag}{t}") for t in cases} == cases
+    assert licenses.tagged(f"{tag}MIT\n{tag}ISC\n{tag}") == ["MIT", "ISC"]
+
+
+def test_cosines_of_all_lines_and_stretches_by_hand(spark):
     import math
     from collections import Counter
 
-    docs = spark.read.parquet(f"{SF}/documents.parquet")
-    files = licenses.documents_as_files(docs)
-    texts = {r.doc_id: r.text for r in docs.collect()}
+    texts = {r.doc_id: r.text for r in spark.read.parquet(f"{SF}/documents.parquet").collect()}
+    apache, gpl = (next(t for n, t in licenses.TEMPLATES if n == name) for name in ("Apache-2.0", "GPL-3.0"))
+    odd = ["", apache, f"so\n{apache} it", f"foo bar {gpl} baz qux quux", "Released under a MIT\nLicense by foo and bar", "under the Apache License", "MIT License MIT License", f"{apache} {gpl}"]
+    texts |= {10_000 + i: t for i, t in enumerate(odd)} | {20_000: "SPDX-License-Identifier: MIT OR Zlib"}
+    files = spark.createDataFrame([(f"{i}/f", i, t) for i, t in texts.items()], "path STRING, doc_id LONG, text STRING")
     lines = [line for t in texts.values() for line in t.split("\n")]
-    vocabulary = {w for _, t in licenses.TEMPLATES for w in licenses.words(t)}
-    df = Counter(w for line in lines for w in set(licenses.words(line)) & vocabulary)
-    idf = lambda w: math.log((1 + len(lines)) / (1 + (df[w] if w in vocabulary else 0))) + 1
-    vector = lambda t: {w: n * idf(w) for w, n in Counter(licenses.words(t)).items()}
+    df = Counter(w for line in lines for w in set(licenses.words(line)))
+    vector = lambda found: {w: n * (math.log((1 + len(lines)) / (1 + df[w])) + 1) for w, n in Counter(found).items()}
     norm = lambda v: math.sqrt(sum(x * x for x in v.values()))
-    templates = [(n, vector(t)) for n, t in licenses.TEMPLATES]
-    for r in licenses.licences(files).collect():
-        best = max(
-            ((sum(v[w] * t.get(w, 0) for w in v) / (norm(v) * norm(t)), n) for line in texts[r.doc_id].split("\n") if (v := vector(line)) for n, t in templates),
-            default=(0, None),
-        )
-        if best[0] >= licenses.MIN_COSINE:
-            assert r.origin == "own" and abs(r.cosine - best[0]) < 1e-6 and r.licence == best[1]
+    templates = [(n, vector(licenses.words(t)), len(licenses.words(t))) for n, t in licenses.TEMPLATES]
+
+    def best(text):
+        found, own = [w for line in text.split("\n") for w in licenses.words(line)], [(-1.0, n) for n in licenses.tagged(text)]
+        for name, t, size in templates:
+            rare = {w for w in t if df[w] < 100}  # no cosine without one of these
+            parts = [(licenses.words(line), licenses.MIN_COSINE) for line in text.split("\n")] + [(found[i : i + size], licenses.MIN_STRETCH) for i in range(max(1, len(found) - size + 1))]
+            for part, bar in parts:
+                if not rare.isdisjoint(part):
+                    v = vector(part)
+                    cosine = sum(x * t.get(w, 0) for w, x in v.items()) / (norm(v) * norm(t))
+                    if cosine >= bar:
+                        own.append((-cosine, name))
+        return min(own, default=(None, None))
+
+    got = {r.doc_id: r for r in licenses.licences(files).collect()}
+    found = 0
+    for i, text in texts.items():
+        cosine, name = best(text)
+        found += name is not None
+        if name is None:
+            assert got[i].origin != "own" and got[i].cosine is None, text
         else:
-            assert r.origin != "own" and r.cosine is None
+            assert got[i].origin == "own" and got[i].licence == name and abs(got[i].cosine + cosine) < 1e-6, text
+    assert found >= 8 and got[20_000].licence == "MIT OR Zlib"
 
 
 # urls
