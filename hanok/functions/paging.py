@@ -34,11 +34,14 @@ def percent_position(total_slots: Column, slot: Column, page_no: Column, pages:
     return F.when(total_slots > 0, (clamped + F.coalesce(within, F.lit(0.0))) / slots * 100).otherwise(F.lit(0.0))
 
 
-def _row_hash(columns: Sequence[str], seed: int) -> Column:
+def row_hash(columns: Sequence[str], seed: int) -> Column:
+    """A 64-bit hash of a row that tells NULLs apart by their places."""
+    if len(columns) > 62:
+        raise ValueError("at most 62 columns")
     # Spark's hash passes over NULLs, so their places are hashed as a number of their own.
     places = " + ".join(f"if(`{c}` IS NULL, {2**i}L, 0L)" for i, c in enumerate(columns))
     cells = ", ".join(f"`{c}`" for c in columns)
-    return F.expr(f"cast(xxhash64({seed}, {cells}, {places}) AS decimal(20, 0))")
+    return F.expr(f"xxhash64({seed}, {cells}, {places})")
 
 
 def content_fingerprint(columns: Sequence[str], position: str | None = None) -> Column:
@@ -53,7 +56,5 @@ def content_fingerprint(columns: Sequence[str], position: str | None = None) ->
     same column types.
     """
     columns = [*columns, position] if position else columns
-    if len(columns) > 62:
-        raise ValueError("at most 62 columns")
-    sums = [F.coalesce(F.sum(_row_hash(columns, seed)).cast("string"), F.lit("0")) for seed in (17, 71)]
+    sums = [F.coalesce(F.sum(row_hash(columns, seed).cast("decimal(20, 0)")).cast("string"), F.lit("0")) for seed in (17, 71)]
     return F.md5(F.concat_ws(":", F.count(F.lit(1)).cast("string"), *sums))

@@ -11,6 +11,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from hanok.functions import dates, text
+from hanok.functions.paging import row_hash
 from hanok.functions.scoring import ratio
 from hanok.operators.medians import grouped_median, medians_by_grain
 from hanok.operators.sketches import value_sketches
@@ -32,17 +33,26 @@ def price_per_area(amount: Column, area: Column, unit: int = AMOUNT_UNIT) -> Col
     return ratio(amount.cast("double") * unit, area.cast("double"))
 
 
+# Raw columns that become part of a trade.
+USED_COLUMNS = (
+    "lawdCd", "sggCd", "estateAgentSggNm", "aptSeq", "aptNm", "aptDong", "jibun", "dealYear", "dealMonth", "dealDay", "dealAmount", "excluUseAr",
+    "floor", "buildYear", "year", "month",
+)
+
+
 def trades_from_raw(raw: DataFrame) -> DataFrame:
     """Typed trades of the raw table: trimmed, cancelled ones removed, equal rows kept once.
 
-    Two raw rows are one trade only if they agree in every column but the file they came from; trades that differ in a column
-    that is not kept stay two. A row whose own date is outside its partition's month is not a trade (see ``misdated_rows``),
+    Two raw rows are one trade only if they agree in every column but the file they came from: the columns that are used are compared
+    as they are, all of them by a digest of 128 bits, so that the others need not be shuffled. A row whose own date is outside its partition's month is not a trade (see ``misdated_rows``),
     so one mistyped year does not move the marts' windows. Columns are made in steps, so that no parser runs twice for one cell.
     """
     filled = lambda c: text.blank_to_null(F.col(c))
     whole = lambda c: text.lenient_long(F.col(c))
-    whole_rows = raw.drop("_file").distinct()
-    cells = whole_rows.where(filled("cdealType").isNull()).select(
+    compared = [c for c in raw.columns if c != "_file"]
+    digest = [row_hash(compared, seed).alias(f"_digest{i}") for i, seed in enumerate((17, 71))]
+    whole_rows = raw.where(filled("cdealType").isNull()).select(*USED_COLUMNS, *digest).distinct()
+    cells = whole_rows.select(
         F.coalesce(filled("sggCd"), F.col("lawdCd")).alias("sggcd"),
         filled("estateAgentSggNm").alias("estateagentsggnm"),
         filled("aptSeq").alias("aptseq"),

@@ -137,7 +137,7 @@ def publish_boards(spark: SparkSession, database: str) -> DatasetCatalog:
 
 
 def write_boards(spark: SparkSession, database: str, table_format: str = lake.PARQUET) -> list[str]:
-    """Write every board as a table. A board that others refer to is read back, not computed again."""
+    """Write every board, replaced at once for its readers. A board that others refer to is read back, not computed again."""
     return _write_all(spark, database, MART_TABLES, board_catalog, table_format)
 
 
@@ -153,7 +153,7 @@ def _write_all(
     written: list[str] = []
     for name in catalog(sources).names():
         # Definitions stand in dependency order; what is written becomes a source of the rest.
-        lake.replace_table(catalog(sources).get(name), f"{database}.{name}", table_format=table_format)
+        lake.publish(catalog(sources).get(name), f"{database}.{name}", table_format=table_format)
         sources[name] = spark.table(f"{database}.{name}")
         written.append(name)
     return written

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from hanok.operators.changes import pages_to_land
 from hanok.schema import RAW_SCHEMA
 from hanok.sources import bronze
+from hanok.sources.listing import listed_pages
 
 
 def page(root, code, ym, no, text, bom=True):
@@ -120,6 +121,31 @@ def test_landed_pages_come_from_the_listing(spark, landing):
     ]
 
 
+def test_a_listing_by_tasks_sees_empty_files(spark, landing):
+    (landing / "LAWD_CD=11110" / "DEAL_YM=202401" / "_SUCCESS").touch()
+    (landing / "_manifests").mkdir()
+    got = listed_pages(spark, str(landing))
+    assert rows(got.select("lawd_cd", "deal_ym", "page_no", (F.col("size") > 0).alias("full"))) == [
+        ("01110", "202402", 1, True), ("01110", "202402", 2, True), ("11110", "202401", 1, True), ("11110", "202401", 2, True), ("22220", "202403", 1, False),
+    ]
+    assert got.where("size > 0").count() == bronze.landed_pages(spark, str(landing)).count()
+    fetched = spark.createDataFrame([("11110", "202401", 1, 5), ("22220", "202403", 1, 5)], "lawd_cd STRING, deal_ym STRING, page_no INT, row_count INT")
+    assert rows(pages_to_land(fetched, got)) == [("22220", "202403", 1, 5)]
+    assert listed_pages(spark, f"{landing}/nowhere").count() == 0
+
+
+@pytest.mark.parametrize("whole", [0, bronze.WHOLE_BYTES])
+def test_both_ways_read_the_same_cells(spark, tmp_path, whole):
+    page(tmp_path, "11110", "202401", 1, '"apt,Nm",floor,  jibun ,"x""y"\r\n"a, ""b""",,"", z \r\n\r\n  \r\n1,2\r\n"q"r,s"t,u,v,w,extra\r\n')
+    page(tmp_path, "11110", "202401", 2, "floor,floor,jibun\n1,2,3\n")
+    page(tmp_path, "11110", "202401", 3, "floor,jibun\n")
+    page(tmp_path, "11110", "202401", 4, "jibun,apt\n4,5", bom=False)
+    got = bronze.read_pages(spark, f"{tmp_path}/{bronze.PAGE_GLOB}", ["apt,Nm", "floor", "jibun", 'x"y', "none"], whole_bytes=whole)
+    assert rows(got.drop("_file")) == rows(spark.createDataFrame(
+        [('a, "b"', None, None, " z ", None), ("1", "2", None, None, None), ('"q"r', 's"t', "u", "v", None), (None, "1", "3", None, None), (None, None, "4", None, None)],
+        "a STRING, b STRING, c STRING, d STRING, e STRING"))
+
+
 def test_an_empty_page_is_landed_again(spark, landing):
     fetched = spark.createDataFrame([("11110", "202401", 1, 5), ("22220", "202403", 1, 5), ("22220", "202403", 2, 0)], "lawd_cd STRING, deal_ym STRING, page_no INT, row_count INT")
     got = pages_to_land(fetched, bronze.landed_pages(spark, str(landing)))
