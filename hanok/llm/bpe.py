@@ -15,6 +15,7 @@ import json
 import re
 import unicodedata
 from collections.abc import Iterable, Iterator
+from itertools import repeat
 
 import pyarrow as pa
 import regex
@@ -24,6 +25,7 @@ from hanok.llm.shared import as_texts
 
 PIECE = 1 << 16  # characters fed at a time
 NEVER = 1 << 60  # rank of a pair that does not merge
+SHORT = 100  # characters of a word that is merged at once
 CACHE = 150_000  # words remembered in each of two generations
 # Where the tokenizers library's Unicode tables are older than those of this Python: letters and numbers that it takes
 # for signs, marks that it leaves in place when it composes; and capitals that it lowers and this Python does not.
@@ -103,18 +105,15 @@ def lookahead(merges: list[tuple[str, str]], end: str) -> int:
 def merge(model: Model, symbols: list[str]) -> list[str]:
     """All merges over a known run of symbols, in the order of the list and from left to right; ``symbols`` is used up."""
     rank, tokens = model.rank.get, symbols
-    ranks = [rank(pair, NEVER) for pair in zip(tokens, tokens[1:])]
-    while ranks:
-        least = min(ranks)
-        if least == NEVER:
-            break
+    ranks = list(map(rank, zip(tokens, tokens[1:]), repeat(NEVER)))
+    while ranks and (least := min(ranks)) != NEVER:
         i = ranks.index(least)
-        tokens[i] += tokens.pop(i + 1)
         del ranks[i]
+        joined = tokens[i] = tokens[i] + tokens.pop(i + 1)
         if i:
-            ranks[i - 1] = rank((tokens[i - 1], tokens[i]), NEVER)
+            ranks[i - 1] = rank((tokens[i - 1], joined), NEVER)
         if i < len(ranks):
-            ranks[i] = rank((tokens[i], tokens[i + 1]), NEVER)
+            ranks[i] = rank((joined, tokens[i + 1]), NEVER)
     return tokens
 
 
@@ -272,6 +271,8 @@ class Encoder:
 
     def _chunk(self, chunk: str) -> list[int]:
         """Ids of what stands between white space, one word or several."""
+        if chunk.isalpha():
+            return self._word(chunk)
         words = self.split.findall(chunk)
         if len(words) == 1:
             return self._word(chunk)
@@ -283,7 +284,11 @@ class Encoder:
         ids = self.young.get(word)
         if ids is None:
             ids = self.old.get(word)
-            if ids is None:
+            if ids is None and len(word) <= SHORT:  # the transducer would hold it to its end
+                symbols = list(word) if word.isascii() and word.isprintable() else self._symbols(word)
+                symbols[-1] += self.model.end
+                ids = list(map(self.model.vocab.__getitem__, merge(self.model, symbols)))
+            elif ids is None:
                 transducer = WordTransducer(self.model)
                 ids = self._ids([*transducer.feed(self._symbols(word)), *transducer.finish()])
             self._remember(word, ids)
