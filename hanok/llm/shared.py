@@ -13,14 +13,28 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
+_OWN: list[str] = []  # folders made by this process
+
+
 def work_folder(spark: SparkSession, name: str) -> str:
-    """A new folder below the one that the cluster shares for checkpoints.
+    """A new folder below the one that the cluster names in ``spark.checkpoint.dir``.
 
-    Where ``spark.checkpoint.dir`` is unset (a local session), the warehouse holds it.
+    Only a local session may leave that unset; its warehouse then holds the folder, since driver and executors are one process.
     """
     shared = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    shared = shared or f"{spark.conf.get('spark.sql.warehouse.dir')}/llm_work"
-    return f"{shared.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    if not shared:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir is not set: executors need a folder that all of them see")
+        shared = f"{spark.conf.get('spark.sql.warehouse.dir')}/llm_work"
+    _OWN.append(f"{shared.rstrip('/')}/{name}-{uuid.uuid4().hex}")
+    return _OWN[-1]
+
+
+def clear_work(spark: SparkSession) -> None:
+    """Delete the folders made so far, once everything that was derived from them is written elsewhere or no longer needed."""
+    while _OWN:
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(_OWN.pop())
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def written(df: DataFrame, name: str) -> DataFrame:
