@@ -121,7 +121,8 @@ def near_duplicates(docs: DataFrame, shingle: int = 3, max_bits: int = 3, doc_id
     """(doc_id, fp, component_id) per row of ``docs``.
 
     Documents with equal fingerprints meet in one row before anything else, so copies cost nothing further. A row
-    without doc_id has a fingerprint and no component, and links nothing. Repeated rows stay repeated.
+    without doc_id has a fingerprint and no component, and links nothing. Repeated rows stay repeated. doc_id is an integer; texts of
+    any length are read whole.
     """
     prints = written(fingerprints(docs, shingle, doc_id, text), "simhash")
     first = written(prints.where("doc_id IS NOT NULL").groupBy("fp").agg(F.min("doc_id").alias("first")), "simhash-first")
