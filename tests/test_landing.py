@@ -167,3 +167,11 @@ def test_a_manifest_with_all_fields(spark):
     got = ch.run_manifest(done, run).first()
     assert (got.ts, got.cursor.page_no, got.percent, got.quota_limit) == ("t", 7, 12.5, 10)
     assert [tuple(p) for p in got.completed_partitions] == [("1", "202402"), ("2", "202401")]
+
+
+def test_items_of_an_answer_are_staged_one_by_one(spark, landed):
+    landed.land(page("01110", "202401", 1, 3, "A", "B"), page("01110", "202401", 2, 3, "C"), page("22220", "202401", 1, 0))
+    staged = spark.table("landing_pages_staged")
+    found = rows(staged.select("lawd_cd", "page_no", "row_no", "_i.aptNm"))
+    assert found == [("01110", 1, 0, "A"), ("01110", 1, 1, "B"), ("01110", 2, 0, "C"), ("22220", 1, None, None)]
+    assert staged.select("_answer").distinct().count() == 3
