@@ -9,6 +9,8 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 # Buckets per unit of ln(value): each covers a ten-thousandth of the value's size.
 BUCKETS_PER_LOG = 10_000
+# The same for a first look at large groups: a hundredth, so that a group has some hundred buckets.
+COARSE_BUCKETS_PER_LOG = 100
 
 
 def grouped_median(rows: DataFrame, keys: Sequence[str], value: Column, median_name: str, count_name: str) -> DataFrame:
@@ -21,10 +23,27 @@ def grouped_median(rows: DataFrame, keys: Sequence[str], value: Column, median_n
     return split_median(narrow, keys, "_v", median_name, count_name)
 
 
-def value_bucket(value: str | Column) -> Column:
+def large_group_median(rows: DataFrame, keys: Sequence[str], value: Column, median_name: str, count_name: str) -> DataFrame:
+    """The same for few groups of many rows, however unevenly the rows are dealt to tasks.
+
+    A first reading counts coarse buckets, whose number depends on the groups and the spread of their values, so that no task's
+    count grows with its rows. A second one counts the values of the bucket or two that hold a group's middle ranks; these are narrowed
+    down as in ``split_median``. ``rows`` are read twice, but hardly any are shuffled.
+    """
+    keys = list(keys)
+    bucketed = rows.select(*keys, value.cast("double").alias("_v")).where(F.col("_v").isNotNull()).withColumn("_c", value_bucket("_v", COARSE_BUCKETS_PER_LOG))
+    middle = _middle_buckets(bucketed.groupBy(*keys, "_c").agg(F.count(F.lit(1)).alias("_bn")), keys, "_c")
+    near = bucketed.join(middle, _same([*keys, "_c"])).select(*keys, "_c", "_v", "_before", "_total")
+    # A bucket's place in its group is the same in all its rows.
+    place = (F.max("_before").alias("_start"), F.max("_total").alias("_all"))
+    counted = near.groupBy(*keys, "_c", "_v", value_bucket("_v").alias("_b")).agg(F.count(F.lit(1)).alias("_n"), *place)
+    return _median_of_counts(counted, keys, median_name, count_name, "_c")
+
+
+def value_bucket(value: str | Column, per_log: int = BUCKETS_PER_LOG) -> Column:
     """A whole number that grows with the value, zero at zero and finer than any price band needs; its ends hold what is not finite."""
     v = F.col(value) if isinstance(value, str) else value
-    size = F.floor(F.log1p(F.abs(v)) * F.lit(BUCKETS_PER_LOG))
+    size = F.floor(F.log1p(F.abs(v)) * F.lit(per_log))
     top = 1 << 40
     return (
         F.when(F.isnan(v), F.lit(top + 1))
@@ -69,30 +88,40 @@ def medians_by_grain(
     return _median_of_counts(counted, ["grain", *every], median_name, count_name)
 
 
-def _median_of_counts(counted: DataFrame, keys: list[str], median_name: str, count_name: str) -> DataFrame:
-    """Medians of values (``_v``) that occur ``_n`` times in buckets ``_b``."""
-    buckets = counted.groupBy(*keys, "_b").agg(F.sum("_n").alias("_bn"))
-    in_group = Window.partitionBy(*keys)
+def _same(columns: Sequence[str]) -> Column:
+    """Null-safe throughout: a plain comparison would put a filter below the counting, and it would run once more."""
+    return reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"_m_{c}")) for c in columns])
+
+
+def _middle_buckets(buckets: DataFrame, keys: list[str], bucket: str, within: str | None = None) -> DataFrame:
+    """The one or two buckets of each group that hold its middle ranks: keys and bucket (``_m_``), rows before the bucket, all rows.
+
+    ``buckets`` holds ``_bn`` rows each. With ``within`` they are of that coarser bucket alone, which ``_start`` of the group's ``_all`` rows precede.
+    """
+    parts = [*keys, within] if within else keys
+    in_group = Window.partitionBy(*parts)
+    upto = F.sum("_bn").over(in_group.orderBy(bucket).rowsBetween(Window.unboundedPreceding, 0))
     ranked = buckets.select(
-        *keys, "_b", "_bn",
-        F.sum("_bn").over(in_group).alias("_total"),
-        F.sum("_bn").over(in_group.orderBy("_b").rowsBetween(Window.unboundedPreceding, 0)).alias("_upto"),
+        *parts, bucket, "_bn",
+        (F.col("_all") if within else F.sum("_bn").over(in_group)).alias("_total"),
+        (F.col("_start") + upto if within else upto).alias("_upto"),
     )
-    middle = ranked.select(
-        *[F.col(k).alias(f"_m_{k}") for k in keys],
-        F.col("_b").alias("_mb"),
-        (F.col("_upto") - F.col("_bn")).alias("_before"),
-        "_upto",
-        "_total",
+    low, high = F.floor((F.col("_total") + 1) / 2), F.floor((F.col("_total") + 2) / 2)
+    return ranked.select(
+        *[F.col(k).alias(f"_m_{k}") for k in (*parts, bucket)], (F.col("_upto") - F.col("_bn")).alias("_before"), "_upto", "_total"
+    ).where((F.col("_upto") >= low) & (F.col("_before") < high)).drop("_upto")
+
+
+def _median_of_counts(counted: DataFrame, keys: list[str], median_name: str, count_name: str, within: str | None = None) -> DataFrame:
+    """Medians of values (``_v``) that occur ``_n`` times in buckets ``_b``; with ``within`` of the values in the middle coarser buckets."""
+    parts = [*keys, within] if within else keys
+    place = (F.max("_start").alias("_start"), F.max("_all").alias("_all")) if within else ()
+    middle = _middle_buckets(counted.groupBy(*parts, "_b").agg(F.sum("_n").alias("_bn"), *place), keys, "_b", within)
+    in_bucket = Window.partitionBy(*parts, "_b").orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)
+    placed = counted.join(middle, _same([*parts, "_b"])).select(
+        *keys, "_v", "_total",
         F.floor((F.col("_total") + 1) / 2).alias("_low"),
         F.floor((F.col("_total") + 2) / 2).alias("_high"),
-    ).where((F.col("_upto") >= F.col("_low")) & (F.col("_before") < F.col("_high")))
-
-    same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_m_{k}")) for k in keys])
-    in_bucket = Window.partitionBy(*keys, "_b").orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)
-    # Null-safe throughout: a plain comparison would put a filter below the counting, and it would run once more.
-    placed = counted.join(middle, same & F.col("_b").eqNullSafe(F.col("_mb"))).select(
-        *keys, "_v", "_total", "_low", "_high",
         (F.col("_before") + F.sum("_n").over(in_bucket)).alias("_rank"),
     )
     return placed.groupBy(*keys).agg(

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from hanok.functions import dates, text
 from hanok.functions.paging import row_hash
 from hanok.functions.scoring import ratio
-from hanok.operators.medians import grouped_median, medians_by_grain
+from hanok.operators.medians import grouped_median, large_group_median, medians_by_grain
 from hanok.operators.sketches import value_sketches
 
 # Upper edges of the area buckets in square metres.
@@ -99,7 +99,7 @@ def within_months(trades: DataFrame, months: int, last: Column | None = None) ->
 
 def region_monthly_stats(trades: DataFrame, months: int = 180) -> DataFrame:
     """Median price and number of trades per region and month."""
-    return grouped_median(
+    return large_group_median(
         within_months(trades, months), ["sggcd", "deal_month_date"], F.col("ppsqm_krw"), "median_ppsqm_krw", "trades"
     ).select(
         "sggcd", "deal_month_date",
@@ -121,7 +121,7 @@ def complex_monthly_median(trades: DataFrame, months: int = 120) -> DataFrame:
 
 def region_last12m(trades: DataFrame) -> DataFrame:
     """Median price and trades per region over the newest twelve months."""
-    return grouped_median(
+    return large_group_median(
         within_months(trades, 12), ["sggcd"], F.col("ppsqm_krw"), "median_ppsqm_krw_12m", "trades_12m"
     )
 

@@ -1,10 +1,12 @@
 import random
+import re
 import statistics
 
 import pytest
 from pyspark.sql import functions as F
 
-from hanok.operators.medians import grouped_median, split_median
+from hanok.operators.medians import grouped_median, large_group_median, split_median
+from hanok.plans import marts
 
 
 @pytest.fixture(scope="module")
@@ -45,3 +47,24 @@ def test_split_way_with_two_keys(spark):
     df = spark.createDataFrame(rows, "a INT, b INT, v DOUBLE")
     got = {(r.a, r.b): (r.m, r.n) for r in split_median(df, ["a", "b"], "v", "m", "n").collect()}
     assert got == {k: v for k, v in brute([((a, b), v) for a, b, v in rows]).items()}
+
+
+def test_median_of_large_groups_dealt_unevenly(spark, data):
+    nan, inf = float("nan"), float("inf")
+    df = spark.createDataFrame(data, "g STRING, v DOUBLE").repartition(3, "v")
+    got = {r.g: (r.m, r.n) for r in large_group_median(df, ["g"], F.col("v"), "m", "n").collect()}
+    assert got == brute(data)
+    # The middle ranks lie in two coarse buckets, in one, and in those of what is not finite.
+    odd = [("far", 1.0), ("far", 900.0), ("near", 100.0), ("near", 100.001), ("nan", nan), ("nan", nan), ("inf", 3.0), ("inf", inf), ("low", -inf), ("low", -inf)]
+    found = large_group_median(spark.createDataFrame(odd, "g STRING, v DOUBLE"), ["g"], F.col("v"), "m", "n").collect()
+    assert {r.g: str(r.m) for r in found} == {"far": "450.5", "near": str((100.0 + 100.001) / 2), "nan": "nan", "inf": "inf", "low": "-inf"}
+
+
+def test_region_marts_count_few_buckets_first_and_values_near_the_middle_only(spark):
+    # 20,000 different prices of one region and month: a count of values would hold them all.
+    trades = spark.range(20_000).selectExpr("'a' AS sggcd", "DATE'2024-01-01' AS deal_month_date", "1000 + id / 20 AS ppsqm_krw").repartition(3, "ppsqm_krw")
+    for mart, median in ((marts.region_monthly_stats(trades), "median_ppsqm_krw"), (marts.region_last12m(trades), "median_ppsqm_krw_12m")):
+        got = mart.collect()
+        assert [r[median] for r in got] == [1000 + 19_999 / 40]
+        plan = mart._jdf.queryExecution().executedPlan().toString()
+        assert re.search(r"HashAggregate\(keys=\[[^\]]*_c#\d+L\], functions=\[partial_count\(1\)\]", plan)
