@@ -155,3 +155,13 @@ def test_an_empty_page_is_landed_again(spark, landing):
 def test_paths_without_keys_give_null(spark):
     df = spark.createDataFrame([("s3a://x/LAWD_CD=1/DEAL_YM=2024/page=1.csv",)], "_file STRING")
     assert bronze.path_columns(df).select("lawdCd", "deal_ym", "year", "month").first() == (None, None, None, None)
+
+
+def test_header_look_up_does_not_sort_the_lines(spark, tmp_path):
+    for name, text in (("a", "x,y\n9,8\n1,2\n"), ("b", "z\nz\na\n"), ("c", "only\n")):
+        (tmp_path / f"{name}.csv").write_text(text)
+    (tmp_path / "empty.csv").write_text("")
+    headers = bronze.file_headers(spark.read.schema("value STRING").text(str(tmp_path)))
+    assert {r.file.rsplit("/", 1)[1]: r.header for r in headers.collect()} == {"a.csv": "x,y", "b.csv": "z", "c.csv": "only"}
+    plan = headers._jdf.queryExecution().executedPlan().toString()
+    assert "Sort" not in plan and "ObjectHashAggregate" in plan
