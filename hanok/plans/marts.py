@@ -69,10 +69,11 @@ def trades_from_raw(raw: DataFrame) -> DataFrame:
         "year",
         "month",
     )
-    dated = cells.withColumn("deal_date", dates.loose_date(F.col("_y"), F.col("_m"), F.col("_d"))).drop("_y", "_m", "_d")
-    # A date that cannot be read says nothing against the partition.
-    inside = F.col("deal_date").isNull() | ((F.year("deal_date") == F.col("year")) & (F.month("deal_date") == F.col("month")))
-    return dated.where(F.coalesce(inside, F.lit(True))).withColumns(
+    dated = cells.withColumn("deal_date", dates.loose_date(F.col("_y"), F.col("_m"), F.col("_d")))
+    # A date that cannot be read says nothing against the partition. The optimizer moves this filter below ``distinct`` with all its
+    # parsers in it, so it compares the numbers a readable date is made of and names the date once, last.
+    inside = ((F.col("_y") == F.col("year")) & (F.col("_m") == F.col("month"))) | F.col("deal_date").isNull()
+    return dated.where(F.coalesce(inside, F.lit(True))).drop("_y", "_m", "_d").withColumns(
         {
             "deal_month_date": dates.month_start(F.col("deal_date")),
             "ppsqm_krw": price_per_area(F.col("deal_amount"), F.col("area")),

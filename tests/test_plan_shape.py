@@ -1,5 +1,7 @@
 """What no query's plan may hold, with sides too large to broadcast."""
 
+import re
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -67,3 +69,33 @@ def test_month_window_skips_partitions(spark):
 
 def test_trades_are_all_order_lines(spark):
     assert all_trades(spark, SF).count() == table(spark, SF, "lineitem").count()
+
+
+def test_the_date_filter_of_raw_rows_leaves_methods_small_enough_to_compile(spark):
+    # The JVM only interprets methods of more than 8,000 bytes.
+    key = "spark.sql.adaptive.enabled"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "false")
+    try:
+        executed = QUERIES["m1_trade_features"](spark, SF)._jdf.queryExecution().executedPlan()
+    finally:
+        spark.conf.set(key, before)
+    debug = getattr(getattr(spark._jvm.org.apache.spark.sql.execution.debug, "package$"), "MODULE$")
+    sizes = [int(n) for n in re.findall(r"maxMethodCodeSize:(\d+)", debug.codegenString(executed))]
+    assert sizes and max(sizes) <= 8000
+
+
+def test_rows_outside_their_partition_are_left_out_unless_their_date_cannot_be_read(spark):
+    from hanok.schema import RAW_SCHEMA
+
+    # year, month and the date of a row; whether it stays.
+    given = [
+        (2024, 3, "2024", "3", "5", True), (2024, 3, "2204", "3", "5", False), (2024, 3, "2024", "4", "5", False),
+        (2024, 3, "2024", "13", "5", True), (2024, 3, "2023", "2", "30", True), (2024, 3, "x", "3", "5", True), (2024, 3, None, None, None, True),
+        (None, 3, "2024", "3", "5", True), (None, 3, "2024", "4", "5", False), (2024, None, "2024", "3", "5", True),
+        (2024, None, "2023", "3", "5", False), (None, None, "2024", "3", "5", True),
+    ]
+    cells = [{"year": y, "month": m, "dealYear": dy, "dealMonth": dm, "dealDay": dd, "buyerGbn": str(i), "dealAmount": str(i)} for i, (y, m, dy, dm, dd, _) in enumerate(given)]
+    raw = spark.createDataFrame([tuple(c.get(f.name) for f in RAW_SCHEMA.fields) for c in cells], RAW_SCHEMA)
+    kept = {r.deal_amount for r in marts.trades_from_raw(raw).collect()}
+    assert kept == {i for i, row in enumerate(given) if row[-1]}
