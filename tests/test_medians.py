@@ -5,7 +5,7 @@ import statistics
 import pytest
 from pyspark.sql import functions as F
 
-from hanok.operators.medians import grouped_median, large_group_median, split_median
+from hanok.operators.medians import grouped_median, large_group_median, small_group_median, split_median
 from hanok.plans import marts
 
 
@@ -68,3 +68,34 @@ def test_region_marts_count_few_buckets_first_and_values_near_the_middle_only(sp
         assert [r[median] for r in got] == [1000 + 19_999 / 40]
         plan = mart._jdf.queryExecution().executedPlan().toString()
         assert re.search(r"HashAggregate\(keys=\[[^\]]*_c#\d+L\], functions=\[partial_count\(1\)\]", plan)
+
+
+def test_small_groups_are_sorted_and_those_of_crowded_slots_narrowed_down(spark, data):
+    nan, inf = float("nan"), float("inf")
+    rows = [("a", v) for v in (1.0, nan, inf, -inf, 2.0)] + [("b", nan)] + [("c", v) for v in (inf, 3.0)] + [("d", -0.0)]
+    odd = spark.createDataFrame(rows, "g STRING, v DOUBLE")
+    df = spark.createDataFrame(data, "g STRING, v DOUBLE").repartition(3, "v")
+    for crowded in (1_000_000, 1000, 0):
+        got = {r.g: (r.m, r.n) for r in small_group_median(df, ["g"], F.col("v"), "m", "n", crowded).collect()}
+        assert got == brute(data)
+        found = {r.g: (str(r.m), r.n) for r in small_group_median(odd, ["g"], F.col("v"), "m", "n", crowded).collect()}
+        assert found == {"a": ("2.0", 5), "b": ("nan", 1), "c": ("inf", 2), "d": ("0.0", 1)}
+
+
+def test_a_small_group_is_shuffled_once(spark):
+    df = spark.range(1000).selectExpr("id % 300 AS g", "cast(id AS double) AS v")
+    plan = small_group_median(df, ["g"], F.col("v"), "m", "n")._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning(_h#") == 1
+
+
+def test_medians_of_a_table_are_those_of_one_count(spark):
+    r = random.Random(3)
+    cells = [
+        (r.choice(["x", "y", None]), f"2024-{r.randint(1, 12):02d}-01" if r.random() < 0.9 else "2021-05-01", f"c{r.randint(1, 9)}", r.choice(["n", None]), r.choice([50.0, 70.0, 100.0, 200.0, None]), r.choice([None, r.randint(1, 30) / 4]))
+        for _ in range(900)
+    ]
+    layout = "sggcd STRING, deal_month_date STRING, aptseq STRING, aptnm STRING, area DOUBLE, ppsqm_krw DOUBLE"
+    trades = spark.createDataFrame(cells, layout).withColumn("deal_month_date", F.to_date("deal_month_date"))
+    one, table = marts.all_medians(trades), marts.all_medians_of_table(trades)
+    assert one.columns == table.columns and one.dtypes == table.dtypes
+    assert sorted(map(str, one.collect())) == sorted(map(str, table.collect()))
